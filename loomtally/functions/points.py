@@ -9,9 +9,6 @@ from pyspark.sql import Column, functions as F
 
 from loomtally.functions.text import check_vocabulary
 
-# Beyond this many centres one generated expression per centre gets too long to compile.
-UNROLL_LIMIT = 128
-
 Point = tuple[int, int]
 
 
@@ -28,20 +25,20 @@ def sq_distance(x: Column, y: Column, to_x: Column, to_y: Column) -> Column:
     return dx * dx + dy * dy
 
 
-def nearest(x: Column, y: Column, centers: Sequence[Point]) -> Column:
-    """Index of the closest centre; ties go to the lowest index, no centres give 0."""
+def nearest(centers: Sequence[Point], x: str = "x", y: str = "y") -> Column:
+    """Index of the closest centre; ties go to the lowest index, no centres give 0.
+
+    One distance per centre is spelled out, as SQL text because it is rebuilt for every
+    update. Unlike a lambda over an array of centres this is compiled code.
+    """
     if not centers:
         return F.lit(0)
-    if len(centers) <= UNROLL_LIMIT:
-        distances = F.array(
-            *[sq_distance(x, y, F.lit(cx), F.lit(cy)) for cx, cy in centers]
-        )
-    else:
-        literal = F.array(
-            *[F.struct(F.lit(cx).alias("x"), F.lit(cy).alias("y")) for cx, cy in centers]
-        )
-        distances = F.transform(literal, lambda c: sq_distance(x, y, c["x"], c["y"]))
-    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
+    terms = (
+        f"(`{x}` - {cx}D) * (`{x}` - {cx}D) + (`{y}` - {cy}D) * (`{y}` - {cy}D)"
+        for cx, cy in centers
+    )
+    distances = f"array({', '.join(terms)})"
+    return F.expr(f"cast(array_position({distances}, array_min({distances})) - 1 as int)")
 
 
 def total_shift(before: Sequence[Point], after: Sequence[Point]) -> float:

@@ -15,8 +15,6 @@ from loomtally.operators.durable import durable
 from loomtally.operators.medians import group_median
 from loomtally.operators.sampling import fixed_sample, stratified_sample
 
-CENTERS_SCHEMA = "cluster int, x int, y int"
-
 
 @dataclass(frozen=True)
 class Clustering:
@@ -34,7 +32,7 @@ def collapse(vectors: DataFrame) -> DataFrame:
 
 def assign(points: DataFrame, centers: Sequence[Point]) -> DataFrame:
     """Adds `cluster`, the index of the nearest centre."""
-    return points.withColumn("cluster", nearest(F.col("x"), F.col("y"), centers))
+    return points.withColumn("cluster", nearest(centers))
 
 
 def with_distance(points: DataFrame, to: Point) -> DataFrame:
@@ -88,8 +86,9 @@ def kmeans(
 
 
 def centers_frame(spark: SparkSession, centers: Sequence[Point]) -> DataFrame:
-    rows = [(i, int(x), int(y)) for i, (x, y) in enumerate(centers)]
-    return spark.createDataFrame(rows, CENTERS_SCHEMA)
+    """`cluster`, `x`, `y` of the given centres."""
+    rows = ", ".join(f"({i}, {int(x)}, {int(y)})" for i, (x, y) in enumerate(centers))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS centers(cluster, x, y)")
 
 
 def centroid_shift(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ Positions are integers and distinguish the fragments of a key; ties fall back to
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -60,9 +61,13 @@ def keyed_concat(
     return joined.orderBy(key) if sort else joined
 
 
+def _ordered(order: str, value: str) -> Column:
+    """A group's values in order, as an array."""
+    return F.array_sort(F.collect_list(F.struct(order, value)))[value]
+
+
 def _fold(order: str, value: str) -> Column:
-    ordered = F.array_sort(F.collect_list(F.struct(order, value)))
-    return F.aggregate(ordered, F.lit(""), lambda text, item: F.concat(text, item[value]))
+    return F.aggregate(_ordered(order, value), F.lit(""), lambda text, item: F.concat(text, item))
 
 
 def group_fold(
@@ -97,37 +102,28 @@ def aggregate_with(
 ) -> DataFrame:
     """Apply a user-defined aggregate in position order.
 
-    `reduce` runs over at most `span` values of a key in one call; buffers of an
-    oversized key are then combined with `merge`, and `finish` makes the result.
+    Spark groups and orders the values; Arrow batches of groups reach the Python steps.
+    `reduce` runs over at most `span` values at a time, the buffers of an oversized key
+    are then combined with `merge`, and `finish` makes the result.
     """
-    zero, step, merge, finish = (
-        aggregator.zero, aggregator.reduce, aggregator.merge, aggregator.finish,
-    )
-
-    def ordered(order: pd.Series, values: pd.Series) -> pd.Series:
-        frame = pd.DataFrame({"o": order, "v": values}).dropna(subset=["v"])
-        return frame.sort_values(["o", "v"], kind="stable")["v"]
+    zero, step, merge = aggregator.zero, aggregator.reduce, aggregator.merge
+    finish = aggregator.finish
 
     @F.pandas_udf("string")
-    def reduced(order: pd.Series, values: pd.Series) -> str:
-        buffer = zero()
-        for item in ordered(order, values):
-            buffer = step(buffer, item)
-        return buffer
+    def reduced(groups: pd.Series) -> pd.Series:
+        return groups.map(lambda values: functools.reduce(step, values, zero()))
 
     @F.pandas_udf("string")
-    def merged(order: pd.Series, buffers: pd.Series) -> str:
-        buffer = zero()
-        for item in ordered(order, buffers):
-            buffer = merge(buffer, item)
-        return buffer
+    def merged(groups: pd.Series) -> pd.Series:
+        return groups.map(lambda buffers: functools.reduce(merge, buffers, zero()))
 
     @F.pandas_udf("string")
     def finished(buffers: pd.Series) -> pd.Series:
         return buffers.map(finish)
 
     buffers = _in_two_levels(
-        fragments, key, pos, value, span,
-        lambda o, v: reduced(F.col(o), F.col(v)), lambda o, v: merged(F.col(o), F.col(v)),
+        fragments.where(F.col(value).isNotNull()), key, pos, value, span,
+        lambda order, item: reduced(_ordered(order, item)),
+        lambda order, item: merged(_ordered(order, item)),
     )
     return buffers.select(key, finished(F.col("text")).alias("text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from loomtally.defaults import SAMPLE_SEED
 from loomtally.functions.ordering import seeded_order
@@ -10,18 +10,18 @@ from loomtally.functions.ordering import seeded_order
 
 def fixed_sample(rows: DataFrame, size: int, key: str = "id", seed: int = SAMPLE_SEED) -> DataFrame:
     """`size` rows without replacement; each task keeps its own first `size` only."""
-    return rows.orderBy(seeded_order(F.col(key), seed), key).limit(size)
+    return rows.orderBy(seeded_order(key, seed), key).limit(size)
 
 
 def stratified_sample(
-    rows: DataFrame, stratum: str, quota: int, key: str = "id", seed: Column | int | None = None
+    rows: DataFrame, stratum: str, quota: int, key: str = "id", seed: str | int | None = None
 ) -> DataFrame:
     """`quota` rows of every stratum; a smaller stratum is an error.
 
     The rank limit is applied before the shuffle, so even a stratum that holds most rows
     sends `quota` rows per map task. The default seed is the stratum itself.
     """
-    order = seeded_order(F.col(key), F.col(stratum) if seed is None else seed)
+    order = seeded_order(key, stratum if seed is None else seed)
     group = Window.partitionBy(stratum)
     drawn = (
         rows.withColumn("_rank", F.row_number().over(group.orderBy(order, key)))
@@ -45,4 +45,4 @@ def fraction_sample(
     """Each row with the given probability: by hash of an integer key, or at random."""
     if key is None:
         return rows.sample(fraction=fraction, seed=seed)
-    return rows.where(F.pmod(seeded_order(F.col(key), seed), F.lit(1000)) < round(fraction * 1000))
+    return rows.where(seeded_order(key, seed) % 1000 < round(fraction * 1000))

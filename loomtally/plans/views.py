@@ -42,22 +42,22 @@ def article_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def postings(spark: SparkSession, folder: str, score_offset: int = 0) -> DataFrame:
     """Orders as questions and their line items as answers."""
-    absent = F.lit(None).cast("bigint")
-    asked = table(spark, folder, "orders").select(
-        F.lit(1).alias("posting_type"),
-        F.col("o_orderkey").alias("id"),
-        absent.alias("accepted_answer"),
-        absent.alias("parent_id"),
-        (F.col("o_custkey") % 100).cast("int").alias("score"),
-        F.col("o_orderpriority").alias("tags"),
+    absent = "cast(NULL AS bigint)"
+    asked = table(spark, folder, "orders").selectExpr(
+        "1 AS posting_type",
+        "o_orderkey AS id",
+        f"{absent} AS accepted_answer",
+        f"{absent} AS parent_id",
+        "cast(o_custkey % 100 AS int) AS score",
+        "o_orderpriority AS tags",
     )
-    replied = table(spark, folder, "lineitem").select(
-        F.lit(2).alias("posting_type"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-        absent.alias("accepted_answer"),
-        F.col("l_orderkey").alias("parent_id"),
-        (F.col("l_quantity").cast("int") + score_offset).alias("score"),
-        F.lit(None).cast("string").alias("tags"),
+    replied = table(spark, folder, "lineitem").selectExpr(
+        "2 AS posting_type",
+        "l_orderkey * 10 + l_linenumber AS id",
+        f"{absent} AS accepted_answer",
+        "l_orderkey AS parent_id",
+        f"cast(l_quantity AS int) + {score_offset} AS score",
+        "cast(NULL AS string) AS tags",
     )
     return asked.unionByName(replied)
 
@@ -70,20 +70,16 @@ def posting_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def activity(spark: SparkSession, folder: str) -> DataFrame:
     """One survey row per user and day, with event values as minutes."""
-    minutes = F.col("value").cast("decimal(18,2)")
-    user = F.col("user_id")
+    minutes = "cast(sum(cast(value AS decimal(18,2))) FILTER (WHERE {}) AS double)"
     days = table(spark, folder, "events").groupBy("user_id", F.to_date("ts").alias("day"))
     summed = days.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.expr(rule), minutes)).cast("double"), F.lit(0.0)).alias(name)
-            for name, rule in ACTIVITIES.items()
-        ]
+        *[F.expr(f"coalesce({minutes.format(rule)}, 0D) AS {n}") for n, rule in ACTIVITIES.items()]
     )
-    return summed.select(
-        F.concat_ws("-", user.cast("string"), F.col("day").cast("string")).alias("tucaseid"),
-        ((user * 7 % 90) / 2 + 14).cast("double").alias("teage"),
-        (user % 5 + 1).cast("double").alias("telfs"),
-        (user % 2 + 1).cast("double").alias("tesex"),
+    return summed.selectExpr(
+        "concat_ws('-', cast(user_id AS string), cast(day AS string)) AS tucaseid",
+        "cast(user_id * 7 % 90 / 2 + 14 AS double) AS teage",
+        "cast(user_id % 5 + 1 AS double) AS telfs",
+        "cast(user_id % 2 + 1 AS double) AS tesex",
         *ACTIVITIES,
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loomtally.sources.strict import keep_valid, strict_number
+from loomtally.sources.strict import check_mode
 
 QUESTION, ANSWER = 1, 2
 COLUMNS = ("posting_type", "id", "accepted_answer", "parent_id", "score", "tags")
@@ -12,6 +12,16 @@ NUMBERS = COLUMNS[:5]
 OPTIONAL = ("accepted_answer", "parent_id")
 
 
+def _number(position: int, kind: str) -> str:
+    """The integer a field spells, NULL if it spells none; surrounding space is not allowed.
+
+    Empty fields are common and are set apart first: a failing cast is slow.
+    """
+    field = f"get(fields, {position})"
+    spelled = f"{field} <> '' AND length({field}) = length(trim({field}))"
+    return f"CASE WHEN {spelled} THEN try_cast({field} AS {kind}) END"
+
+
 def parse_postings(
     lines: DataFrame, mode: str = "fail", line: str = "value", id_type: str = "int"
 ) -> DataFrame:
@@ -19,32 +29,34 @@ def parse_postings(
 
     Trailing empty fields count as absent and fields after the sixth are ignored.
     `accepted_answer` and `parent_id` may be empty; the other numbers may not, and text
-    that is no integer is malformed. `id_type` is `int` or `bigint`.
+    that is no integer is malformed. With `fail` a malformed field raises as soon as its
+    column is read, with `drop` the whole line is left out. `id_type` is `int` or `bigint`.
     """
-    kinds = {"posting_type": "int", "score": "int"}
-    fields = F.split(F.rtrim(F.col(line), F.lit(",")), ",")
-    raw = lines.select(F.col(line).alias("_line"), fields.alias("_f"))
-    raw = raw.select("_line", *[F.get("_f", i).alias(f"_{c}") for i, c in enumerate(COLUMNS)])
-    parsed = raw.select(
-        "_line",
-        *[
-            F.struct(
-                strict_number(F.col(f"_{c}"), kinds.get(c, id_type)).alias("number"),
-                F.col(f"_{c}").alias("text"),
-            ).alias(c)
-            for c in NUMBERS
-        ],
-        F.col("_tags").alias("tags"),
-    )
-    # The last number is required, so a line that ends early is malformed as well.
-    valid = F.lit(True)
-    for c in NUMBERS:
-        number = F.col(f"{c}.number").isNotNull()
-        valid = valid & (number | (F.col(f"{c}.text") == "") if c in OPTIONAL else number)
-    message = F.concat(F.lit("malformed posting line: "), F.coalesce("_line", F.lit("NULL")))
-    return keep_valid(parsed, valid, message, mode).select(
-        *[F.col(f"{c}.number").alias(c) for c in NUMBERS], "tags"
-    )
+    check_mode(mode)
+    kinds = [("int" if c in ("posting_type", "score") else id_type) for c in NUMBERS]
+    numbers = [_number(i, kind) for i, kind in enumerate(kinds)]
+    fields = F.expr(f"split(rtrim(',', `{line}`), ',')")
+    if mode == "drop":
+        valid = [
+            f"(get(fields, {i}) = '' OR {numbers[i]} IS NOT NULL)" if name in OPTIONAL
+            else f"{numbers[i]} IS NOT NULL"
+            for i, name in enumerate(NUMBERS)
+        ]
+        # Exploding a single list keeps the filter from repeating the split per field.
+        parsed = lines.select(F.explode(F.array(fields)).alias("fields"))
+        return parsed.where(" AND ".join(valid)).selectExpr(
+            *[f"{number} AS {name}" for number, name in zip(numbers, NUMBERS)],
+            "get(fields, 5) AS tags",
+        )
+    columns = []
+    for position, (name, kind) in enumerate(zip(NUMBERS, kinds)):
+        complaint = f"raise_error(concat('malformed {name} in posting line: ', line))"
+        checked = f"coalesce({numbers[position]}, cast({complaint} AS {kind}))"
+        if name in OPTIONAL:
+            checked = f"CASE WHEN get(fields, {position}) = '' THEN NULL ELSE {checked} END"
+        columns.append(f"{checked} AS {name}")
+    parsed = lines.select(F.coalesce(line, F.lit("NULL")).alias("line"), fields.alias("fields"))
+    return parsed.selectExpr(*columns, "get(fields, 5) AS tags")
 
 
 def read_postings(
