@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 SPACE = " "
 
+# Comparing each token with every term is faster than hashing it up to about this many.
+COMPARE_UP_TO = 32
+
 
 def check_vocabulary(vocabulary: Sequence[str]) -> list[str]:
     """The vocabulary as a list; a repeated term would be counted twice."""
@@ -36,17 +39,39 @@ def tokens(text: Column, *, drop_trailing_empty: bool = False) -> Column:
 
 
 def mentions(text: Column, term: str) -> Column:
-    """True where the text holds the term as a whole token; NULL text never does."""
-    found = F.array_contains(tokens(text, drop_trailing_empty=term == ""), term)
+    """True where the text holds the term as a whole token; NULL text never does.
+
+    Looking for the term between two spaces in the padded text needs no tokens.
+    """
+    if term == "":
+        found = F.array_contains(tokens(text, drop_trailing_empty=True), term)
+    elif SPACE in term:
+        found = F.lit(False)
+    else:
+        padded = F.concat(F.lit(SPACE), text, F.lit(SPACE))
+        found = F.contains(padded, F.lit(f"{SPACE}{term}{SPACE}"))
     return F.coalesce(found, F.lit(False))
 
 
-def mentioned_terms(text: Column, vocabulary: Sequence[str]) -> Column:
-    """The distinct vocabulary terms in a text.
+def _quoted(term: str) -> str:
+    escaped = term.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def term_rows(articles: DataFrame, text: str, vocabulary: Sequence[str], *keep: str) -> DataFrame:
+    """One row per article and distinct vocabulary term in it: `term` and the `keep` columns.
 
-    The text is tokenised once and each token is looked up in one hash set, so the cost
-    does not grow with the vocabulary.
+    Each text is tokenised once. A short vocabulary is compared term by term in compiled
+    code; a long one becomes a hash set that every token is looked up in, so that the cost
+    does not grow with it.
     """
     terms = check_vocabulary(vocabulary)
-    words = tokens(text, drop_trailing_empty="" in terms)
-    return F.array_distinct(F.filter(words, lambda word: word.isin(terms)))
+    words = tokens(F.col(text), drop_trailing_empty="" in terms)
+    split = articles.select(words.alias("_tokens"), *keep)
+    if len(terms) <= COMPARE_UP_TO:
+        hits = F.array(*[F.when(F.array_contains("_tokens", term), term) for term in terms])
+        return split.select(F.explode(hits).alias("term"), *keep).where("term IS NOT NULL")
+    # SQL text, because building thousands of literal columns one by one takes seconds.
+    listed = ", ".join(map(_quoted, terms))
+    hits = F.array_distinct(F.expr(f"filter(_tokens, word -> word IN ({listed}))"))
+    return split.select(F.explode(hits).alias("term"), *keep)

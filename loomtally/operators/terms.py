@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomtally.functions.text import check_vocabulary, mentioned_terms, mentions, tokens
+from loomtally.functions.text import check_vocabulary, mentions, term_rows, tokens
 
 # A vocabulary table up to this many terms becomes an in-plan lookup set.
 MAX_LITERAL_TERMS = 10_000
@@ -31,9 +31,7 @@ def inverted_index(
     No shuffle: each article emits its own entries, so a term that occurs in a third of
     all articles is as spread out as the articles are.
     """
-    return articles.select(
-        F.explode(mentioned_terms(F.col(text), vocabulary)).alias("term"), *keep
-    )
+    return term_rows(articles, text, vocabulary, *keep)
 
 
 def id_range(key: str, span: int) -> Column:
