@@ -125,6 +125,16 @@ def sample_centers(
     return centers
 
 
+def _cells(points: DataFrame, centers: Sequence[Point], spread: int) -> DataFrame:
+    """`cluster`, `tag_index`, `y`, `w`: all the report needs to know about the points."""
+    tag = F.expr(f"cast(x div {int(spread)} as int)")
+    return (
+        assign(points.where("y IS NOT NULL"), centers)
+        .groupBy("cluster", tag.alias("tag_index"), "y")
+        .agg(F.sum("w").alias("w"))
+    )
+
+
 def cluster_histogram(points: DataFrame, centers: Sequence[Point], spread: int) -> DataFrame:
     """`cluster`, `tag_index`, `n`: how often each tag occurs in each cluster."""
     tag = F.expr(f"cast(x div {int(spread)} as int)")
@@ -148,21 +158,22 @@ def cluster_report(
     `integer_percent` divides before multiplying by 100, which leaves only 0 and 100.
     """
     names = F.array(*[F.lit(term) for term in vocabulary])
-    dominant = (
-        cluster_histogram(points, centers, spread)
+    cells = _cells(points, centers, spread)
+    tops = (
+        cells.groupBy("cluster", "tag_index")
+        .agg(F.sum("w").alias("n"))
         .groupBy("cluster")
-        .agg(
-            F.max(F.struct("n", (-F.col("tag_index")).alias("rank"))).alias("top"),
-            F.sum("n").alias("size"),
-        )
+        .agg(F.max(F.expr("struct(n, -tag_index AS rank)")).alias("top"), F.sum("n").alias("size"))
+        .alias("t")
     )
+    medians = group_median(cells, "cluster", "y", F.col("w")).alias("m")
     percent = "top.n div size * 100" if integer_percent else "top.n * 100 / size"
-    medians = group_median(assign(points, centers), "cluster", "y", F.col("w"))
     return (
-        dominant.join(medians.select("cluster", "median"), "cluster")
+        # Null-safe, so that both sides share the shuffled cells.
+        tops.join(medians, F.col("t.cluster").eqNullSafe(F.col("m.cluster")))
         .select(
-            "cluster",
-            F.element_at(names, 1 - F.col("top.rank")).alias("label"),
+            "t.cluster",
+            F.element_at(names, F.expr("1 - top.rank")).alias("label"),
             F.expr(percent).cast("double").alias("percent"),
             F.col("size").alias("cluster_size"),
             F.col("median").alias("median_score"),

@@ -22,17 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def durable(rows: DataFrame) -> DataFrame:
-    """The rows read back from a reliable checkpoint: nothing upstream is computed again."""
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(rows.sparkSession))
-    return rows.checkpoint(eager=True)
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(rows: DataFrame) -> DataFrame:
-    """The rows read back from a columnar table in the shared folder, for large results."""
+def durable(rows: DataFrame) -> DataFrame:
+    """The rows read back from a table in the shared folder: nothing upstream runs again."""
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/loomtally-{uuid.uuid4().hex}"
+    path = new_path(spark, "rows")
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

@@ -44,7 +44,12 @@ def group_median(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        counted.join(ranges, F.col("g").eqNullSafe(F.col("rg")) & (F.col("r") == F.col("rr")))
+        # Null-safe on both keys: a plain equality would add a filter to one side only, and
+        # the count of values could then not be shared between the two.
+        counted.join(
+            ranges,
+            F.col("g").eqNullSafe(F.col("rg")) & F.col("r").eqNullSafe(F.col("rr")),
+        )
         .withColumn("upto", F.col("before") + F.sum("w").over(within))
         .where(_covers_middle(F.col("upto") - F.col("w"), "upto"))
         .groupBy("g", "n")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,7 +11,7 @@ from loomtally.functions.points import Point
 from loomtally.operators import (
     clusters as C, fragments as G, layout, questions as Q, sampling, summary as S, terms as T,
 )
-from loomtally.operators.durable import shared_folder, stored
+from loomtally.operators.durable import durable, new_path
 from loomtally.operators.medians import group_median
 from loomtally.plans import jobs, views as V
 from loomtally.sources.articles import parse_articles
@@ -94,7 +93,7 @@ def posting_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def survey_file(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{shared_folder(spark)}/survey-{uuid.uuid4().hex}"
+    path = new_path(spark, "survey")
     V.activity(spark, folder).write.option("header", True).csv(path)
     return _plain(S.grouped_avg(S.summarize(read_survey(spark, path))))
 
@@ -139,7 +138,7 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def _start(spark: SparkSession, folder: str) -> tuple[DataFrame, list[Point]]:
     """Stored vectors and the centres drawn from them."""
-    vectors = stored(_vectors(spark, folder))
+    vectors = durable(_vectors(spark, folder))
     return vectors, C.sample_centers(vectors, len(V.PRIORITIES), CLUSTERS, SPREAD)
 
 

@@ -10,7 +10,7 @@ from loomtally.defaults import (
     CLUSTERS, ETA, MAX_UPDATES, PROGRAMMING_LANGUAGES, TAG_SPREAD,
 )
 from loomtally.operators import clusters as C, questions as Q, summary as S, terms as T
-from loomtally.operators.durable import stored
+from loomtally.operators.durable import durable
 from loomtally.sources.articles import read_articles
 from loomtally.sources.postings import read_postings
 from loomtally.sources.survey import read_survey
@@ -37,7 +37,7 @@ def cluster_postings(
     The postings are read and shuffled once: starting centres and collapsed points both
     come from the stored vectors, and the updates see the collapsed points only.
     """
-    vectors = stored(Q.tag_vectors(Q.best_answer(postings), vocabulary, spread))
+    vectors = durable(Q.tag_vectors(Q.best_answer(postings), vocabulary, spread))
     centers = C.sample_centers(vectors, len(vocabulary), clusters, spread)
     points = C.weighted_points(vectors)
     found = C.kmeans(points, centers, eta, max_updates)

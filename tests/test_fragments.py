@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomtally.operators import fragments as G, skew
-from loomtally.operators.durable import durable, shared_folder, stored
+from loomtally.operators.durable import durable, shared_folder
 from loomtally.operators.layout import range_layout
 from loomtally.plans import jobs
 
@@ -76,9 +76,9 @@ def test_range_layout_cuts_common_keys(spark):
 
 def test_storage_cuts_lineage(spark):
     frame = spark.range(100).withColumn("x", F.col("id") * 2)
-    for kept in (durable(frame), stored(frame)):
-        assert sorted(map(tuple, kept.collect())) == [(i, 2 * i) for i in range(100)]
-        assert "Range" not in kept._jdf.queryExecution().logical().toString()
+    kept = durable(frame)
+    assert sorted(map(tuple, kept.collect())) == [(i, 2 * i) for i in range(100)]
+    assert "Range" not in kept._jdf.queryExecution().logical().toString()
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
