@@ -68,10 +68,11 @@ def term_rows(articles: DataFrame, text: str, vocabulary: Sequence[str], *keep:
     terms = check_vocabulary(vocabulary)
     words = tokens(F.col(text), drop_trailing_empty="" in terms)
     split = articles.select(words.alias("_tokens"), *keep)
+    # SQL text, because building literal columns one by one is slow.
+    quoted = [_quoted(term) for term in terms]
     if len(terms) <= COMPARE_UP_TO:
-        hits = F.array(*[F.when(F.array_contains("_tokens", term), term) for term in terms])
-        return split.select(F.explode(hits).alias("term"), *keep).where("term IS NOT NULL")
-    # SQL text, because building thousands of literal columns one by one takes seconds.
-    listed = ", ".join(map(_quoted, terms))
-    hits = F.array_distinct(F.expr(f"filter(_tokens, word -> word IN ({listed}))"))
-    return split.select(F.explode(hits).alias("term"), *keep)
+        found = [f"CASE WHEN array_contains(_tokens, {term}) THEN {term} END" for term in quoted]
+        hits = F.expr(f"explode(array({', '.join(found)}))")
+        return split.select(hits.alias("term"), *keep).where("term IS NOT NULL")
+    hits = F.expr(f"explode(array_distinct(filter(_tokens, t -> t IN ({', '.join(quoted)}))))")
+    return split.select(hits.alias("term"), *keep)

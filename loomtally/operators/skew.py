@@ -25,7 +25,8 @@ def oversized_keys(rows: DataFrame, key: Column, limit: int) -> DataFrame | None
         .where(F.col("n") > limit)
         .select(KEY, F.ceil(F.col("n") / limit).cast("int").alias(BLOCKS))
     )
-    head = sizes.limit(MAX_LOOKUP_KEYS + 1).collect()
+    # Ordered, so that each task hands over its first rows in a single job.
+    head = sizes.orderBy(F.desc(BLOCKS)).limit(MAX_LOOKUP_KEYS + 1).collect()
     if not head:
         return None
     if len(head) <= MAX_LOOKUP_KEYS:
