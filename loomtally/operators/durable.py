@@ -11,15 +11,15 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in `spark.checkpoint.dir`; a scratch one only on a single machine."""
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    """The session's checkpoint folder; a scratch one only where it is unset and local."""
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="loomtally-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="loomtally-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:

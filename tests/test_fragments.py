@@ -1,4 +1,4 @@
-"""Ordered concatenation, layout and durable storage."""
+"""Ordered concatenation, layout and jobs from files."""
 
 import random
 
@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomtally.operators import fragments as G, skew
-from loomtally.operators.durable import durable, shared_folder
 from loomtally.operators.layout import range_layout
 from loomtally.plans import jobs
 
@@ -74,14 +73,6 @@ def test_range_layout_cuts_common_keys(spark):
     assert all(tuple(a.high) < tuple(b.low) for a, b in zip(bounds, bounds[1:]))
 
 
-def test_storage_cuts_lineage(spark):
-    frame = spark.range(100).withColumn("x", F.col("id") * 2)
-    kept = durable(frame)
-    assert sorted(map(tuple, kept.collect())) == [(i, 2 * i) for i in range(100)]
-    assert "Range" not in kept._jdf.queryExecution().logical().toString()
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-
-
 def test_jobs_from_files(spark, tmp_path):
     (tmp_path / "articles").mkdir()
     (tmp_path / "articles" / "a.txt").write_text(
