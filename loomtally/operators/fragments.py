@@ -1,8 +1,9 @@
 """Ordered string concatenation per key: built-in, fold and user-defined aggregate.
 
-A key with more than `span` fragments is concatenated in segments first, each holding
-the fragments of `span` consecutive positions, and the segments are then joined in order.
-Positions are integers and distinguish the fragments of a key; ties fall back to the text.
+A key with more than `span` fragments is worked on in two levels: copies of a fragment are
+counted, the fragments of `span` consecutive positions make up a segment, and the segments
+are joined in order. Positions are integers that distinguish the fragments of a key; equal
+positions fall back to the order of the texts.
 """
 
 from __future__ import annotations
@@ -18,64 +19,83 @@ from loomtally.operators.skew import BLOCKS, KEY, oversized_keys
 
 SPAN = 65_536
 
+ONCE = "cast(1 AS int)"
+COPIES = "_copies"
+
+# Builds a group's result from its order column, its text column and a count expression.
+Combine = Callable[[str, str, str], Column]
+
 
 def _segment(pos: str, span: int) -> Column:
     return F.expr(f"(`{pos}` - pmod(`{pos}`, {int(span)})) div {int(span)}").cast("bigint")
 
 
+def _listagg(order: str, value: str, copies: str) -> Column:
+    text = f"`{value}`" if copies == ONCE else f"repeat(`{value}`, {copies})"
+    return F.expr(f"listagg({text}, '') WITHIN GROUP (ORDER BY `{order}`, {text})")
+
+
+def _items(order: str, value: str, copies: str) -> Column:
+    """A group's texts in order, as an array of `(o, v, n)`."""
+    return F.expr(f"array_sort(collect_list(struct(`{order}` AS o, `{value}` AS v, {copies} AS n)))")
+
+
+def _fold(order: str, value: str, copies: str) -> Column:
+    return F.aggregate(
+        _items(order, value, copies),
+        F.lit(""),
+        lambda text, item: F.concat(text, F.repeat(item["v"], item["n"])),
+    )
+
+
+def _count_copies(fragments: DataFrame, *columns: str) -> DataFrame:
+    """Equal fragments as one row; counted map-side, so a heap of copies moves as one row."""
+    return fragments.groupBy(*columns).agg(F.count("*").cast("int").alias(COPIES))
+
+
 def segments(fragments: DataFrame, key: str, pos: str, value: str, span: int = SPAN) -> DataFrame:
     """`key`, `segment` and its `text`; in segment order the texts make up the whole string.
 
-    This form has no size limit: no row holds more than `span` fragments.
+    This form has no limit on the length of the whole: a row holds `span` positions.
     """
-    return fragments.groupBy(key, _segment(pos, span).alias("segment")).agg(
-        F.expr(f"listagg(`{value}`, '') WITHIN GROUP (ORDER BY `{pos}`, `{value}`)").alias("text")
-    )
+    cut = fragments.withColumn("segment", _segment(pos, span))
+    if oversized_keys(cut, F.struct(key, "segment"), span) is None:
+        return cut.groupBy(key, "segment").agg(_listagg(pos, value, ONCE).alias("text"))
+    counted = _count_copies(cut, key, "segment", pos, value)
+    return counted.groupBy(key, "segment").agg(_listagg(pos, value, COPIES).alias("text"))
 
 
-def _in_two_levels(
+def _combined(
     fragments: DataFrame, key: str, pos: str, value: str, span: int,
-    combine: Callable[[str, str], Column], merge: Callable[[str, str], Column],
+    combine: Combine, merge: Combine,
 ) -> DataFrame:
     """`combine` whole keys, or the segments of oversized keys with `merge` on top."""
     oversized = oversized_keys(fragments, F.col(key), span)
     if oversized is None:
-        return fragments.groupBy(key).agg(combine(pos, value).alias("text"))
+        return fragments.groupBy(key).agg(combine(pos, value, ONCE).alias("text"))
     split = fragments.join(oversized, F.col(key).eqNullSafe(oversized[KEY]), "left").withColumn(
         "_segment",
         F.when(F.col(BLOCKS).isNotNull(), _segment(pos, span)).otherwise(F.lit(0).cast("bigint")),
     )
-    partial = split.groupBy(key, "_segment").agg(combine(pos, value).alias("_part"))
-    return partial.groupBy(key).agg(merge("_segment", "_part").alias("text"))
-
-
-def _listagg(order: str, value: str) -> Column:
-    return F.expr(f"listagg(`{value}`, '') WITHIN GROUP (ORDER BY `{order}`, `{value}`)")
+    counted = _count_copies(split, key, "_segment", pos, value)
+    parts = counted.groupBy(key, "_segment").agg(combine(pos, value, COPIES).alias("_part"))
+    return parts.groupBy(key).agg(merge("_segment", "_part", ONCE).alias("text"))
 
 
 def keyed_concat(
     fragments: DataFrame, key: str, pos: str, value: str, span: int = SPAN, sort: bool = True
 ) -> DataFrame:
     """`key`, `text`: fragments of each key joined in position order, sorted by key."""
-    joined = _in_two_levels(fragments, key, pos, value, span, _listagg, _listagg)
+    joined = _combined(fragments, key, pos, value, span, _listagg, _listagg)
     return joined.orderBy(key) if sort else joined
 
 
-def _ordered(order: str, value: str) -> Column:
-    """A group's values in order, as an array."""
-    return F.array_sort(F.collect_list(F.struct(order, value)))[value]
-
-
-def _fold(order: str, value: str) -> Column:
-    return F.aggregate(_ordered(order, value), F.lit(""), lambda text, item: F.concat(text, item))
-
-
 def group_fold(
     fragments: DataFrame, key: str, pos: str, value: str, span: int = SPAN
 ) -> DataFrame:
-    """The same strings by folding each group's ordered items, at most `span` at a time."""
+    """The same strings by folding each group's ordered items, about `span` at a time."""
     present = fragments.where(F.col(value).isNotNull())
-    return _in_two_levels(present, key, pos, value, span, _fold, _fold)
+    return _combined(present, key, pos, value, span, _fold, _fold)
 
 
 @dataclass(frozen=True)
@@ -103,27 +123,32 @@ def aggregate_with(
     """Apply a user-defined aggregate in position order.
 
     Spark groups and orders the values; Arrow batches of groups reach the Python steps.
-    `reduce` runs over at most `span` values at a time, the buffers of an oversized key
-    are then combined with `merge`, and `finish` makes the result.
+    `reduce` runs over at most one segment at a time, the buffers of an oversized key are
+    then combined with `merge`, and `finish` makes the result.
     """
-    zero, step, merge = aggregator.zero, aggregator.reduce, aggregator.merge
-    finish = aggregator.finish
+    zero, finish = aggregator.zero, aggregator.finish
 
-    @F.pandas_udf("string")
-    def reduced(groups: pd.Series) -> pd.Series:
-        return groups.map(lambda values: functools.reduce(step, values, zero()))
+    def over_groups(step: Callable[[str, str], str]) -> Combine:
+        @F.pandas_udf("string")
+        def folded(values: pd.Series, copies: pd.Series) -> pd.Series:
+            def one(items, counts):
+                repeated = (v for v, n in zip(items, counts) for _ in range(n))
+                return functools.reduce(step, repeated, zero())
 
-    @F.pandas_udf("string")
-    def merged(groups: pd.Series) -> pd.Series:
-        return groups.map(lambda buffers: functools.reduce(merge, buffers, zero()))
+            return pd.Series([one(v, n) for v, n in zip(values, copies)], dtype=object)
+
+        def combine(order: str, value: str, copies: str) -> Column:
+            items = _items(order, value, copies)
+            return folded(items["v"], items["n"])
+
+        return combine
 
     @F.pandas_udf("string")
     def finished(buffers: pd.Series) -> pd.Series:
         return buffers.map(finish)
 
-    buffers = _in_two_levels(
+    buffers = _combined(
         fragments.where(F.col(value).isNotNull()), key, pos, value, span,
-        lambda order, item: reduced(_ordered(order, item)),
-        lambda order, item: merged(_ordered(order, item)),
+        over_groups(aggregator.reduce), over_groups(aggregator.merge),
     )
     return buffers.select(key, finished(F.col("text")).alias("text"))

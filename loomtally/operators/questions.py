@@ -41,7 +41,7 @@ def _blocked_pairs(postings: DataFrame, rows_per_block: int) -> DataFrame:
     """Pairs as `question` and `answer` structs with `qid` and the answer's `_block`."""
     replies = answers(postings).withColumn("qid", answered_id(F.col("parent_id")))
     oversized = oversized_keys(replies, F.col("qid"), rows_per_block)
-    right = with_blocks(replies, F.col("qid"), [F.col("id")], oversized).select(
+    right = with_blocks(replies, F.col("qid"), oversized).select(
         "qid", BLOCK, F.struct(*COLUMNS).alias("answer")
     )
     left = for_every_block(questions(postings), F.col("id"), oversized).select(
@@ -64,8 +64,7 @@ def qa_grouped(postings: DataFrame, pairs_per_block: int = PAIRS_PER_BLOCK) -> D
     """Nested pairs per question: `qid`, `block`, `pairs`.
 
     A question with up to `pairs_per_block` answers has one block. A larger one is cut
-    into blocks of about that size by a hash of the answer id, so no array holds an
-    unbounded group.
+    into blocks of about that size by a hash, so no array holds an unbounded group.
     """
     return (
         _blocked_pairs(postings, pairs_per_block)

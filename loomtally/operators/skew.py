@@ -34,15 +34,18 @@ def oversized_keys(rows: DataFrame, key: Column, limit: int) -> DataFrame | None
     return durable(sizes)
 
 
-def with_blocks(
-    rows: DataFrame, key: Column, spread_by: list[Column], oversized: DataFrame | None
-) -> DataFrame:
-    """Adds `_block`: 0 for ordinary keys, a hash of `spread_by` for oversized ones."""
+def with_blocks(rows: DataFrame, key: Column, oversized: DataFrame | None) -> DataFrame:
+    """Adds `_block`: 0 for ordinary keys, a hash of the row for oversized ones.
+
+    The hash includes the input partition, so that exact copies of a row are spread too.
+    A partition that is computed again gives its rows the same blocks.
+    """
     if oversized is None:
         return rows.withColumn(BLOCK, F.lit(0))
     joined = rows.join(oversized, key.eqNullSafe(oversized[KEY]), "left")
-    block = F.pmod(F.xxhash64(*spread_by), F.col(BLOCKS)).cast("int")
-    return joined.withColumn(BLOCK, F.coalesce(block, F.lit(0))).drop(KEY, BLOCKS)
+    block = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col(BLOCKS))
+    placed = F.when(F.col(BLOCKS).isNotNull(), block).otherwise(0).cast("int")
+    return joined.withColumn(BLOCK, placed).drop(KEY, BLOCKS)
 
 
 def for_every_block(rows: DataFrame, key: Column, oversized: DataFrame | None) -> DataFrame:

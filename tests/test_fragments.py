@@ -51,6 +51,16 @@ def test_hot_key(spark, monkeypatch, form, lookup):
     assert dict(map(tuple, form(frame, "k", "pos", "v", span=50).collect())) == expected
 
 
+@pytest.mark.parametrize("form", FORMS)
+def test_heaps_of_copies(spark, form):
+    data = [(0, i % 3, "ab"[i % 2]) for i in range(6000)] + [(1, 5, "z"), (1, 4, "y")]
+    expected = {1: "yz", 0: "".join(v for _, _, v in sorted(data[:6000]))}
+    frame = spark.createDataFrame(data, SCHEMA).repartition(5)
+    assert dict(map(tuple, form(frame, "k", "pos", "v", span=100).collect())) == expected
+    cut = {(r.k, r.segment): r.text for r in G.segments(frame, "k", "pos", "v", 2).collect()}
+    assert cut[0, 0] + cut[0, 1] == expected[0] and cut[1, 2] == "yz"
+
+
 def test_user_defined_aggregate(rows):
     longest = G.Aggregator(
         zero=lambda: "", reduce=lambda b, v: max(b, v, key=len),

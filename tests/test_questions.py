@@ -105,6 +105,20 @@ def test_hot_question_is_split(spark):
     assert Q.qa_pairs(postings, 1000).count() == 30_000
 
 
+def test_copies_of_one_answer_are_split(spark):
+    asked = spark.range(1).selectExpr(
+        "1 posting_type", "7 id", "cast(NULL AS int) accepted_answer",
+        "cast(NULL AS int) parent_id", "0 score", "'Java' tags",
+    )
+    copies = spark.range(0, 16_000, 1, 64).selectExpr(
+        "2", "99", "cast(NULL AS int)", "7", "5", "cast(NULL AS string)"
+    )
+    grouped = Q.qa_grouped(asked.union(copies), 1000)
+    sizes = [r.n for r in grouped.select(F.size("pairs").alias("n")).collect()]
+    assert sum(sizes) == 16_000 and max(sizes) < 4000
+    assert Q.qa_pairs(asked.union(copies), 1000).count() == 16_000
+
+
 @pytest.mark.parametrize("lookup", [10_000, 3])
 def test_many_oversized_keys(spark, monkeypatch, lookup):
     monkeypatch.setattr(skew, "MAX_LOOKUP_KEYS", lookup)
