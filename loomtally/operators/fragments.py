@@ -69,17 +69,19 @@ def _combined(
     fragments: DataFrame, key: str, pos: str, value: str, span: int,
     combine: Combine, merge: Combine,
 ) -> DataFrame:
-    """`combine` whole keys, or the segments of oversized keys with `merge` on top."""
+    """`combine` ordinary keys at once; segments of oversized ones first, then `merge`."""
     oversized = oversized_keys(fragments, F.col(key), span)
     if oversized is None:
         return fragments.groupBy(key).agg(combine(pos, value, ONCE).alias("text"))
-    split = fragments.join(oversized, F.col(key).eqNullSafe(oversized[KEY]), "left").withColumn(
-        "_segment",
-        F.when(F.col(BLOCKS).isNotNull(), _segment(pos, span)).otherwise(F.lit(0).cast("bigint")),
-    )
-    counted = _count_copies(split, key, "_segment", pos, value)
+    marked = fragments.join(oversized, F.col(key).eqNullSafe(oversized[KEY]), "left")
+    ordinary = marked.where(F.col(BLOCKS).isNull())
+    whole = ordinary.groupBy(key).agg(combine(pos, value, ONCE).alias("text"))
+    cut = marked.where(F.col(BLOCKS).isNotNull()).withColumn("_segment", _segment(pos, span))
+    counted = _count_copies(cut, key, "_segment", pos, value)
     parts = counted.groupBy(key, "_segment").agg(combine(pos, value, COPIES).alias("_part"))
-    return parts.groupBy(key).agg(merge("_segment", "_part", ONCE).alias("text"))
+    return whole.unionByName(
+        parts.groupBy(key).agg(merge("_segment", "_part", ONCE).alias("text"))
+    )
 
 
 def keyed_concat(
