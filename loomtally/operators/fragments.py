@@ -59,8 +59,6 @@ def segments(fragments: DataFrame, key: str, pos: str, value: str, span: int = S
     This form has no limit on the length of the whole: a row holds `span` positions.
     """
     cut = fragments.withColumn("segment", _segment(pos, span))
-    if oversized_keys(cut, F.struct(key, "segment"), span) is None:
-        return cut.groupBy(key, "segment").agg(_listagg(pos, value, ONCE).alias("text"))
     counted = _count_copies(cut, key, "segment", pos, value)
     return counted.groupBy(key, "segment").agg(_listagg(pos, value, COPIES).alias("text"))
 
