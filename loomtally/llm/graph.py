@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from loomtally.llm.tables import durable
@@ -56,3 +58,25 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def grouped_links(groups: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Verified links that connect whatever any verified pair within a group connects.
+
+    `groups` has `g`, `node`; `verify` takes pairs `a`, `b` and returns those linked, with
+    more columns if it likes. Every node is held against the smallest and the largest of its
+    group first; pairs that are then in one component need no comparison, and all other pairs of a group
+    are compared. A large group of alike nodes so costs two comparisons per node.
+    """
+    groups = durable(groups.distinct())
+    hubs = groups.groupBy("g").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
+    met = groups.join(hubs, "g").select("node", F.explode(F.array("hub", "last")).alias("x")).where("node != x")
+    first = durable(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct())
+    links = durable(verify(first))
+    known = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    labelled = groups.join(known, "node", "left").select("g", "node", F.coalesce("component", "node").alias("c"))
+    open_ = labelled.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
+    rest = durable(labelled.join(open_, "g", "left_semi"))
+    other = rest.select("g", F.col("node").alias("y"), F.col("c").alias("cy"))
+    pairs = rest.join(other, "g").where("c < cy").select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
+    return links.unionByName(durable(verify(pairs.join(first, ["a", "b"], "left_anti"))))

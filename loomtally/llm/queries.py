@@ -7,15 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomtally.llm import (
-    ann_tree, byte_bpe, chat_format, decontaminate, disclosure, jaccard_join, language_id, line_dedup,
+    ann_tree, byte_bpe, chat_format, decontaminate, disclosure, jaccard_join, language_id, license_scan,
+    line_dedup, substring_dedup,
 )
 from loomtally.llm.tables import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.licences(docs, license_scan.train(docs))
+
+
 def vocabulary() -> byte_bpe.Vocabulary:
     import public_tokenizers
 
@@ -61,8 +71,8 @@ def op10_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_line_dedup, op4_byte_bpe, op5_decontaminate, op6_language_id,
-        op7_disclosure, op8_chat_format, op9_jaccard_join, op10_ann_tree,
+        op1_substring_dedup, op2_line_dedup, op3_license_scan, op4_byte_bpe,
+        op5_decontaminate, op6_language_id, op7_disclosure, op8_chat_format, op9_jaccard_join, op10_ann_tree,
     )
 }
 
