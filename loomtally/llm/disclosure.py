@@ -25,14 +25,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomtally.llm.tables import durable, rows_key
+from loomtally.llm.tables import SLOTS, bitmap, durable, rows_key
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 GENERALISE_AT, REMOVE_AT, MIN_TOGETHER = 0.8, 0.999, 2
 # A term is near an entity within this many words and characters on either side.
 NEAR_WORDS, NEAR_CHARS, MIN_TERM = 5, 200, 3
-SLOTS = 1 << 20
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -123,8 +122,8 @@ def _slot(term: Column) -> Column:
 class _Filter(dict):
     """Words to terms whose slot is set, or None; forgets when it grows large."""
 
-    def __init__(self, bitmap: bytes) -> None:
-        self.bits = np.unpackbits(np.frombuffer(bitmap, np.uint8))
+    def __init__(self, slots: bytes) -> None:
+        self.bits = np.unpackbits(np.frombuffer(slots, np.uint8))
 
     def __missing__(self, word: str) -> str | None:
         if len(self) > 500_000:
@@ -136,13 +135,6 @@ class _Filter(dict):
         return term
 
 
-def _bitmap(terms: DataFrame):
-    """Broadcast bitmap of the terms' slots: `SLOTS` bits, however many terms there are."""
-    bits = np.zeros(SLOTS, np.uint8)
-    bits[[r[0] for r in terms.select(_slot(F.col("term"))).distinct().collect()]] = 1
-    return terms.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(rows_key(docs).alias("node"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
@@ -164,11 +156,11 @@ def disclosing_terms(
     together = durable(together)
     holders = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     wanted = together.select("term").distinct()
-    bitmap = _bitmap(wanted)
+    known_slots = bitmap(wanted, _slot(F.col("term")))
 
     @F.pandas_udf("array<string>")
     def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Filter(bitmap.value)
+        known = _Filter(known_slots.value)
         for texts in batches:
             yield pd.Series([sorted({t for t in map(known.__getitem__, text.split()) if t}) for text in texts], dtype=object)
 
@@ -195,11 +187,11 @@ def find_spans(
     """
     found = scanned(docs)
     flagged = durable(disclosing_terms(docs, found, threshold, min_together))
-    bitmap = _bitmap(flagged)
+    known_slots = bitmap(flagged, _slot(F.col("term")))
 
     @F.pandas_udf("array<struct<term string, start int, end int>>")
     def places(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Filter(bitmap.value)
+        known = _Filter(known_slots.value)
         for texts in batches:
             out = []
             for text in texts:

@@ -1,12 +1,12 @@
 """N-gram Jaccard join: size-banded tiles, bitmap signatures, exact intersection.
 
 Method. Each text becomes a sorted array of distinct shingle hashes (64 bits) and a hashed
-bitmap. Texts with equal sets collapse to one representative. Two sets can only be similar
+bitmap. Texts with equal sets are one node, named by a digest of the set. Two sets can only be similar
 if they share a shingle among the first few of an order known to all (rare ones first), and
 if their sizes lie in the same or in neighbouring bands; a tile holds the sets of a band and
 of the next smaller one that share such a shingle. Inside a tile every set is compared with
-the tile's smallest id first; sets that are linked by then need no comparison with each
-other, and only pairs of different components are compared afterwards. So a group of
+the smallest and the largest node first; sets that are linked by then need no comparison with
+each other, and only pairs of different components are compared afterwards. So a group of
 thousands of near copies costs a comparison or two per copy, and no link is lost. Before two
 arrays are intersected, the differing bits of their bitmaps bound the overlap from above.
 
@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from loomtally.llm.graph import components
-from loomtally.llm.tables import durable, rows_key
+from loomtally.llm.graph import components, grouped_links
+from loomtally.llm.tables import durable, may_hold, rows_key
 from loomtally.llm.words import WordHasher, positional_shingles, words_of
 
 SHINGLE_WORDS = 3
@@ -66,7 +67,7 @@ def _ceil_div(a: int, b: int) -> int:
 
 
 def profiles(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per document: set size, digest of the set, bitmap, band and its first shingles.
+    """Per document: `node` (digest of its set), set size, bitmap, band and first shingles.
 
     `first` holds the shingles that a similar set of the band must share one of; of those,
     `n_small` suffice towards larger sets.
@@ -85,28 +86,17 @@ def profiles(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT)
                 keep = n - _ceil_div(percent * n, 100) + 1 if n else 0
                 small = n - _ceil_div(2 * percent * n, 100 + percent) + 1 if n else 0
                 first = found[order[:keep]].astype(np.int64)
-                raw = found.tobytes()
-                out.append((n, *_digest(raw), np.packbits(bits).tobytes(),
-                            _band(n, percent) if n else -1, small, first))
-            yield pd.DataFrame(
-                {"node": batch["node"], "doc_id": batch["doc_id"]}
-            ).assign(**{c: [o[i] for o in out] for i, c in enumerate(
-                ("n_shingles", "hi", "lo", "bitmap", "band", "n_small", "first"))})
-
-    return docs.select(rows_key(docs).alias("node"), "doc_id", "text").mapInPandas(
+                node = np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64)
+                out.append((node, n, np.packbits(bits).tobytes(), _band(n, percent) if n else -1, small, first))
+            names = ("node", "n_shingles", "bitmap", "band", "n_small", "first")
+            yield batch[["row", "doc_id"]].assign(**{c: [o[i] for o in out] for i, c in enumerate(names)})
+
+    return docs.select(rows_key(docs).alias("row"), "doc_id", "text").mapInPandas(
         profile,
-        "node long, doc_id long, n_shingles long, hi long, lo long, bitmap binary, band int,"
-        " n_small int, first array<long>",
+        "row long, doc_id long, node long, n_shingles long, bitmap binary, band int, n_small int, first array<long>",
     )
 
 
-def _digest(raw: bytes) -> tuple[int, int]:
-    import xxhash
-
-    digest = xxhash.xxh3_128_digest(raw)
-    return tuple(int.from_bytes(digest[i : i + 8], "little", signed=True) for i in (0, 8))
-
-
 def _similar_bitmaps(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and differing bits leave room for enough overlap."""
 
@@ -130,8 +120,8 @@ def _similar_bitmaps(pairs: DataFrame, signatures: DataFrame, percent: int) -> D
     )
 
 
-def _exact(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose sorted arrays meet the similarity exactly."""
+def _exact(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs whose sorted arrays meet the similarity exactly; `rows` has a row of each node."""
 
     @F.pandas_udf("array<long>")
     def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -150,9 +140,11 @@ def _exact(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
 
         return pd.Series([one(a, b) for a, b in zip(left, right)], dtype=bool)
 
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.select(rows_key(docs).alias("node"), "text").join(needed, "node", "left_semi")
-    sets = durable(texts.dropDuplicates(["node"]).select("node", shingles("text").alias("s")))
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    needed = durable(rows.join(ends, "node").select("node", "row"))
+    texts = docs.select(rows_key(docs).alias("row"), "text").where(may_hold(needed, "row", F.col("row")))
+    one_each = texts.join(needed, "row").groupBy("node").agg(F.first("text").alias("text"))
+    sets = durable(one_each.select("node", shingles("text").alias("s")))
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
@@ -161,22 +153,19 @@ def _exact(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     )
 
 
-def _tiles(representatives: DataFrame) -> DataFrame:
-    """`tile`, `node`, `home`: a set under its first shingles, in its band and the next one."""
-    tile = lambda shingle, band: F.xxhash64(shingle, band)
-    home = representatives.select(
-        "node", "n_shingles", "band", F.lit(True).alias("home"), F.explode("first").alias("s")
-    ).select(tile(F.col("s"), F.col("band")).alias("tile"), "node", "home")
-    guest = representatives.select(
-        "node", "band", F.lit(False).alias("home"), F.explode(F.slice("first", 1, F.col("n_small"))).alias("s")
-    ).select(tile(F.col("s"), F.col("band") + 1).alias("tile"), "node", "home")
-    return home.unionByName(guest)
+def _tiles(sets: DataFrame) -> DataFrame:
+    """`g` (tile), `node`: a set under its first shingles, in its band and in the next one."""
+    home = sets.select("node", "band", F.explode("first").alias("s"))
+    guest = sets.select(
+        "node", (F.col("band") + 1).alias("band"), F.explode(F.slice("first", 1, F.col("n_small"))).alias("s")
+    )
+    return home.unionByName(guest).select(F.xxhash64("s", "band").alias("g"), "node")
 
 
 def jaccard_components(
     docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """`node`, `doc_id`, `n_shingles`, `component_id` for every row of `docs`.
+    """`row`, `doc_id`, `n_shingles`, `component_id` for every row of `docs`.
 
     `component_id` is the smallest doc_id reachable over links, the row's own included.
     A NULL, empty or blank text has an empty set and is linked with nothing. A text shorter
@@ -187,52 +176,22 @@ def jaccard_components(
     """
     docs = docs.select("doc_id", "text")
     all_rows = durable(profiles(docs, size, percent))
-    classes = all_rows.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(
-        F.min("node").alias("node"), F.min("doc_id").alias("least_id")
-    )
-    # Equal sets have equal profiles; one of each class goes on.
-    chosen = classes.select("node").distinct()
-    representatives = durable(
-        all_rows.where("n_shingles > 0").join(chosen, "node", "left_semi").dropDuplicates(["node"])
-        .select("node", "n_shingles", "bitmap", "band", "n_small", "first")
-    )
-    signatures = representatives.select("node", "n_shingles", "bitmap")
-    tiles = _tiles(representatives)
-    shared = (
-        tiles.groupBy("tile")
-        .agg(F.min(F.struct(~F.col("home"), "node")).alias("hub"), F.min("node").alias("lo"),
-             F.max("node").alias("hi"), F.max("home").alias("any_home"))
-        .where("lo < hi AND any_home")
-        .select("tile", F.col("hub.node").alias("hub"))
-    )
-    met = durable(tiles.join(shared, "tile"))
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    first = durable(met.where("node != hub").select(*pair("node", "hub")).distinct())
-    links = durable(_exact(durable(_similar_bitmaps(first, signatures, percent)), docs, size, percent))
-    known = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    # What the first comparisons left apart: pairs of different components that share a tile.
-    labelled = met.select("tile", "node", "home").join(known, "node", "left").select(
-        "tile", "node", "home", F.coalesce("component", "node").alias("c")
-    )
-    open_tiles = labelled.groupBy("tile").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("tile")
-    rest = durable(labelled.join(open_tiles, "tile", "left_semi"))
-    other = rest.select("tile", F.col("node").alias("y"), F.col("home").alias("home_y"), F.col("c").alias("cy"))
-    second = (
-        rest.join(other, "tile").where("c < cy AND (home OR home_y)")
-        .select(*pair("node", "y")).distinct().join(first, ["a", "b"], "left_anti")
-    )
-    more = _exact(durable(_similar_bitmaps(second, signatures, percent)), docs, size, percent)
-    linked = components(
-        links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    )
-    grouped = classes.join(linked, "node", "left").select(
-        "hi", "lo", "n_shingles", "least_id", F.coalesce("component", "node").alias("c")
-    )
+    sets = all_rows.where("n_shingles > 0")
+    classes = durable(sets.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id")))
+    tiles = _tiles(sets)
+    met = tiles.groupBy("g").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("g")
+    signatures = durable(sets.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap")))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return _exact(durable(_similar_bitmaps(pairs, signatures, percent)), docs, classes, size, percent)
+
+    links = durable(grouped_links(tiles.join(met, "g"), verify))
+    linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    grouped = classes.join(linked, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("c"))
     least = grouped.groupBy("c").agg(F.min("least_id").alias("component_id"))
-    found = grouped.join(least, "c").select("hi", "lo", "n_shingles", "component_id")
-    return all_rows.join(found, ["hi", "lo", "n_shingles"], "left").select(
-        "node", "doc_id", "n_shingles",
+    found = grouped.join(least, "c").select("node", "component_id")
+    return all_rows.select("row", "doc_id", "node", "n_shingles").join(found, "node", "left").select(
+        "row", "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
@@ -244,10 +203,10 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int =
     equal texts without id none goes.
     """
     found = jaccard_components(docs, size, percent).where("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-    return _without(docs, found.select("node").distinct())
+    return _without(docs, found.select("row").distinct())
 
 
-def _without(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    name = "_llm_node"
-    gone = nodes.select(F.col("node").alias(name))
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    name = "_llm_row"
+    gone = rows.select(F.col("row").alias(name))
     return docs.withColumn(name, rows_key(docs)).join(gone, name, "left_anti").select(*docs.columns)

@@ -61,7 +61,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("node")
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op10_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

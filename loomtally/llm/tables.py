@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loomtally.operators.durable import durable
 
-__all__ = ["durable", "rows_key", "table"]
+__all__ = ["SLOTS", "bitmap", "durable", "may_hold", "rows_key", "table"]
+
+# Bits of a bitmap that travels to the tasks; fixed, however many keys there are.
+SLOTS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,3 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def rows_key(docs: DataFrame) -> Column:
     """A number for (doc_id, text): equal ids with different texts stay apart."""
     return F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text"))
+
+
+def bitmap(keys: DataFrame, slot: Column):
+    """Broadcast bytes with the bits of the keys' slots (0 to `SLOTS` - 1) set."""
+    bits = np.zeros(SLOTS, np.uint8)
+    bits[keys.select(slot.cast("int").alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)] = 1
+    return keys.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+
+
+def may_hold(keys: DataFrame, key: str, column: Column) -> Column:
+    """False for numbers that are surely not among the keys.
+
+    Rows are left out before an exchange that a join would drop after it; with ever more
+    keys it saves less, and is never wrong.
+    """
+    shared = bitmap(keys, F.pmod(F.col(key), F.lit(SLOTS)))
+
+    @F.pandas_udf("boolean")
+    def held(numbers: pd.Series) -> pd.Series:
+        bits = np.unpackbits(np.frombuffer(shared.value, np.uint8))
+        return pd.Series(bits[numbers.to_numpy(np.int64) % SLOTS] == 1)
+
+    return held(column)
