@@ -60,23 +60,44 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def grouped_links(groups: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """`nodes` (column `node`) with `c`, the component that the links put each in."""
+    known = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return nodes.join(known, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+
+
+def grouped_links(
+    groups: DataFrame, verify: Callable[[DataFrame], DataFrame], all_hubs: bool = False
+) -> DataFrame:
     """Verified links that connect whatever any verified pair within a group connects.
 
     `groups` has `g`, `node`; `verify` takes pairs `a`, `b` and returns those linked, with
-    more columns if it likes. Every node is held against the smallest and the largest of its
-    group first; pairs that are then in one component need no comparison, and all other pairs of a group
-    are compared. A large group of alike nodes so costs two comparisons per node.
+    more columns if it likes. The hubs of a group are its smallest and its largest node.
+    Every node is held against the smallest of all its hubs first, then against those hubs
+    that are in another component still (with `all_hubs`: against all at once), and at last
+    all pairs of a group that are in different components are compared. Pairs of one
+    component need no comparison, so a large group of alike nodes costs little more than one
+    comparison per node.
     """
     groups = durable(groups.distinct())
     hubs = groups.groupBy("g").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
     met = groups.join(hubs, "g").select("node", F.explode(F.array("hub", "last")).alias("x")).where("node != x")
-    first = durable(met.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct())
-    links = durable(verify(first))
-    known = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    labelled = groups.join(known, "node", "left").select("g", "node", F.coalesce("component", "node").alias("c"))
+    pair = (F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
+    met = durable(met.distinct())
+    done = met if all_hubs else met.groupBy("node").agg(F.min("x").alias("x"))
+    done = durable(done.select(*pair).distinct())
+    links = durable(verify(done))
+    labels = durable(_labels(groups.select("node").distinct(), links))
+    other = labels.select(F.col("node").alias("x"), F.col("c").alias("cx"))
+    if not all_hubs:
+        more = met.join(labels, "node").join(other, "x").where("c != cx").select(*pair).distinct()
+        more = durable(more.join(done, ["a", "b"], "left_anti"))
+        done = done.unionByName(more)
+        links = durable(links.unionByName(verify(more)))
+        labels = durable(_labels(groups.select("node").distinct(), links))
+    labelled = groups.join(labels, "node")
     open_ = labelled.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
     rest = durable(labelled.join(open_, "g", "left_semi"))
-    other = rest.select("g", F.col("node").alias("y"), F.col("c").alias("cy"))
-    pairs = rest.join(other, "g").where("c < cy").select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
-    return links.unionByName(durable(verify(pairs.join(first, ["a", "b"], "left_anti"))))
+    beside = rest.select("g", F.col("node").alias("x"), F.col("c").alias("cx"))
+    pairs = rest.join(beside, "g").where("c < cx").select(*pair).distinct()
+    return links.unionByName(durable(verify(pairs.join(done, ["a", "b"], "left_anti"))))
