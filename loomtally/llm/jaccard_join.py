@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loomtally.llm.graph import components, grouped_links
 from loomtally.llm.tables import durable, may_hold, rows_key
-from loomtally.llm.words import WordHasher, positional_shingles, words_of
+from loomtally.llm.words import WordHasher, positional_shingles, slices, words_of
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -66,6 +66,17 @@ def _ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 
 
+def _profile(found: np.ndarray, counts: np.ndarray, percent: int) -> tuple:
+    n = len(found)
+    bits = np.zeros(BITMAP_BITS, bool)
+    bits[(found % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
+    order = np.argsort(counts[(found >> np.uint64(48)).astype(np.int64)], kind="stable")
+    keep = n - _ceil_div(percent * n, 100) + 1 if n else 0
+    small = n - _ceil_div(2 * percent * n, 100 + percent) + 1 if n else 0
+    node = np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64)
+    return node, n, np.packbits(bits).tobytes(), _band(n, percent) if n else -1, small, found[order[:keep]].astype(np.int64)
+
+
 def profiles(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Per document: `node` (digest of its set), set size, bitmap, band and first shingles.
 
@@ -76,20 +87,11 @@ def profiles(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT)
 
     def profile(batches):
         hasher, counts = WordHasher(), load.value
+        names = ("node", "n_shingles", "bitmap", "band", "n_small", "first")
         for batch in batches:
-            out = []
-            for found in _sets(batch["text"], size, hasher):
-                n = len(found)
-                bits = np.zeros(BITMAP_BITS, bool)
-                bits[(found % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
-                order = np.argsort(counts[(found >> np.uint64(48)).astype(np.int64)], kind="stable")
-                keep = n - _ceil_div(percent * n, 100) + 1 if n else 0
-                small = n - _ceil_div(2 * percent * n, 100 + percent) + 1 if n else 0
-                first = found[order[:keep]].astype(np.int64)
-                node = np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64)
-                out.append((node, n, np.packbits(bits).tobytes(), _band(n, percent) if n else -1, small, first))
-            names = ("node", "n_shingles", "bitmap", "band", "n_small", "first")
-            yield batch[["row", "doc_id"]].assign(**{c: [o[i] for o in out] for i, c in enumerate(names)})
+            for part in slices(batch["text"]):
+                out = [_profile(found, counts, percent) for found in _sets(batch["text"].iloc[part], size, hasher)]
+                yield batch[["row", "doc_id"]].iloc[part].assign(**{c: [o[i] for o in out] for i, c in enumerate(names)})
 
     return docs.select(rows_key(docs).alias("row"), "doc_id", "text").mapInPandas(
         profile,

@@ -18,11 +18,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loomtally.llm.words import slices
+
 ORDER = 3
 # Bounds of the training sample, per language: the model that travels to the tasks has at
 # most this many bytes' contexts of each order.
 TRAIN_DOCS = 1_000
 TRAIN_BYTES = 2_000_000
+# Bytes priced at once: about 100 bytes of memory for each.
+STEP_BYTES = 1_000_000
 UNDECIDED = "und"
 
 
@@ -87,18 +91,37 @@ class Model:
     languages: list[str]
     trees: list[ContextTree]
 
+    def _add_bits(self, raw: list[bytes], total: np.ndarray) -> None:
+        """Adds each text's code lengths to its column; a very long text is read in steps."""
+        starts, owners, grams = [], [], []
+        size = 0
+        for i, text in enumerate(raw):
+            for at in range(0, len(text), STEP_BYTES):
+                before = min(at, self.order)
+                part = np.frombuffer(text[at - before : at + STEP_BYTES], np.uint8)
+                grams.append(_grams(part, self.order)[before:])
+                owners.append(i)
+                starts.append(size)
+                size += len(grams[-1])
+                if size >= 2 * STEP_BYTES:
+                    self._price(grams, starts, owners, total)
+                    starts, owners, grams, size = [], [], [], 0
+        self._price(grams, starts, owners, total)
+
+    def _price(self, grams: list[np.ndarray], starts: list[int], owners: list[int], total: np.ndarray) -> None:
+        if grams:
+            kinds, at = np.unique(np.concatenate(grams), return_inverse=True)
+            for k, tree in enumerate(self.trees):
+                np.add.at(total[k], owners, np.add.reduceat(tree.bits(kinds, self.order)[at], starts))
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
         """Language, posterior under equal priors, and bits per byte in that language."""
         raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
         lengths = np.array([len(r) for r in raw])
-        filled = np.flatnonzero(lengths)
         total = np.zeros((len(self.trees), len(texts)))
-        if len(filled) and self.trees:
-            grams = np.concatenate([_grams(np.frombuffer(raw[i], np.uint8), self.order) for i in filled])
-            kinds, at = np.unique(grams, return_inverse=True)
-            starts = np.concatenate([[0], np.cumsum(lengths[filled])[:-1]])
-            for k, tree in enumerate(self.trees):
-                total[k, filled] = np.add.reduceat(tree.bits(kinds, self.order)[at], starts)
+        if self.trees:
+            for own in slices(raw, STEP_BYTES):
+                self._add_bits(raw[own], total[:, own])
         names, scores, rates = [], [], []
         for i, text in enumerate(texts):
             if not self.trees or text is None or not any(map(str.isalpha, text)):

@@ -20,7 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from loomtally.llm.words import WordHasher, mixed
+from loomtally.llm.words import WordHasher, mixed, slices
 
 # Short standard notices by which the families are known.
 TEMPLATES = {
@@ -232,10 +232,11 @@ def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
         hasher = WordHasher()
         for batch in batches:
             ids = batch["doc_id"]
-            found = list(shared.value.scan(batch["text"].tolist(), hasher))
-            yield pd.DataFrame(found, columns=["row", "line", "word", "family", "probability", "similarity"]).assign(
-                doc_id=lambda f: ids.to_numpy()[f["row"].to_numpy(dtype=np.int64)]
-            )[["doc_id", "line", "word", "family", "probability", "similarity"]]
+            for own in slices(batch["text"]):
+                found = list(shared.value.scan(batch["text"].iloc[own].tolist(), hasher))
+                frame = pd.DataFrame(found, columns=["row", "line", "word", "family", "probability", "similarity"])
+                frame["doc_id"] = ids.iloc[own].to_numpy()[frame["row"].to_numpy(dtype=np.int64)]
+                yield frame[["doc_id", "line", "word", "family", "probability", "similarity"]]
 
     return docs.select("doc_id", "text").mapInPandas(
         search, "doc_id long, line int, word int, family string, probability double, similarity double"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import xxhash
 
@@ -15,6 +17,18 @@ def words_of(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def slices(texts, chars: int = 1_000_000) -> Iterator[slice]:
+    """Consecutive runs of texts of about `chars` characters, so that work on one is bounded."""
+    start = size = 0
+    for at, text in enumerate(texts):
+        size += 0 if text is None else len(text)
+        if size >= chars:
+            yield slice(start, at + 1)
+            start, size = at + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 class _Memo(dict):
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)
