@@ -13,11 +13,11 @@ are shuffled. Decoding joins the raw bytes of the ids.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from loomtally.llm.words import slices
 
 CHUNK = 65_536
 OVERLAP = 4_096
@@ -83,10 +83,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("array<int>")
-    def ids_of(pieces: pd.Series) -> pd.Series:
+    def ids_of(batches):
         encoding = shared.value.encoding
-        return pd.Series([np.array(encoding.encode_ordinary(p), np.int32) for p in pieces], dtype=object)
+        for batch in batches:
+            for own in slices(batch["text"]):
+                part = batch.iloc[own]
+                ids = [np.array(encoding.encode_ordinary(p), np.int32) for p in part["text"]]
+                yield part.drop(columns="text").reset_index(drop=True).assign(ids=pd.Series(ids, dtype=object))
 
     @F.pandas_udf("struct<head array<int>, tail array<int>>")
     def edges(chunks: pd.Series) -> pd.DataFrame:
@@ -99,7 +102,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
             tails.append((inner[inner >= chunk] - chunk).astype(np.int32))
         return pd.DataFrame({"head": heads, "tail": tails})
 
-    whole = texts.where(F.length("text") <= chunk + overlap).select("doc_id", ids_of("text").alias("ids"))
+    whole = texts.where(F.length("text") <= chunk + overlap).mapInPandas(
+        ids_of, "doc_id long, ids array<int>"
+    )
     long = texts.where(F.length("text") > chunk + overlap).groupBy("doc_id", "text").agg(F.count("*").alias("n"))
     key = F.xxhash64("doc_id", "text")
     last = F.expr(f"cast((length(text) - 1) div {chunk} as int)")
@@ -130,7 +135,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
         F.array_join(F.transform(ordered(F.struct("c", "share")), lambda s: s["share"]), "").alias("text")
     )
     joined = (
-        pieces.repartition("k", "piece").withColumn("ids", ids_of("text"))
+        pieces.repartition("k", "piece")
+        .mapInPandas(ids_of, "doc_id long, k long, n long, piece long, ids array<int>")
         .groupBy("doc_id", "k", "n")
         .agg(F.flatten(F.transform(ordered(F.struct("piece", "ids")), lambda s: s["ids"])).alias("ids"))
         .select("doc_id", "ids", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
@@ -138,22 +144,19 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
     return whole.unionByName(joined.select("doc_id", "ids"))
 
 
-def decoded(ids: Column, docs: DataFrame, vocabulary: Vocabulary) -> Column:
-    """The bytes that an array of ids stands for."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """`doc_id`, `ids`, `bytes`: an unknown id is an error, NULL ids are not allowed."""
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("binary")
-    def join(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def join(batches):
         of = shared.value.id_bytes
         for batch in batches:
-            yield pd.Series([b"".join(map(of.__getitem__, x.tolist())) for x in batch], dtype=object)
-
-    return join(ids)
-
+            for own in slices(batch["ids"]):
+                part = batch.iloc[own]
+                raw = [b"".join(map(of.__getitem__, x.tolist())) for x in part["ids"]]
+                yield part.reset_index(drop=True).assign(bytes=pd.Series(raw, dtype=object))
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """`doc_id`, `ids`, `bytes`: an unknown id is an error, NULL ids are not allowed."""
-    return encoded.select("doc_id", "ids", decoded(F.col("ids"), encoded, vocabulary).alias("bytes"))
+    return encoded.select("doc_id", "ids").mapInPandas(join, "doc_id long, ids array<int>, bytes binary")
 
 
 def digests(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:

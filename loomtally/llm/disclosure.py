@@ -126,7 +126,7 @@ class _Filter(dict):
         self.bits = np.unpackbits(np.frombuffer(slots, np.uint8))
 
     def __missing__(self, word: str) -> str | None:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         term = term_of(word)
         if term and not self.bits[zlib.crc32(term.encode("utf-8", "surrogatepass")) % SLOTS]:

@@ -125,11 +125,12 @@ def _similar_bitmaps(pairs: DataFrame, signatures: DataFrame, percent: int) -> D
 def _exact(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose sorted arrays meet the similarity exactly; `rows` has a row of each node."""
 
-    @F.pandas_udf("array<long>")
-    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def shingles(batches):
         hasher = WordHasher()
-        for texts in batches:
-            yield pd.Series([s.astype(np.int64) for s in _sets(texts, size, hasher)], dtype=object)
+        for batch in batches:
+            for part in slices(batch["text"]):
+                found = [s.astype(np.int64) for s in _sets(batch["text"].iloc[part], size, hasher)]
+                yield pd.DataFrame({"node": batch["node"].iloc[part].to_numpy(), "s": pd.Series(found, dtype=object)})
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -146,7 +147,7 @@ def _exact(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, percen
     needed = durable(rows.join(ends, "node").select("node", "row"))
     texts = docs.select(rows_key(docs).alias("row"), "text").where(may_hold(needed, "row", F.col("row")))
     one_each = texts.join(needed, "row").groupBy("node").agg(F.first("text").alias("text"))
-    sets = durable(one_each.select("node", shingles("text").alias("s")))
+    sets = durable(one_each.mapInPandas(shingles, "node long, s array<long>"))
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
