@@ -9,6 +9,7 @@ positions fall back to the order of the texts.
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loomtally.operators.skew import BLOCKS, KEY, oversized_keys
 
 SPAN = 65_536
+# Texts folded one after the other before runs are merged, and levels of such merges.
+RUN, FOLD_LEVELS = 64, 2
 
 ONCE = "cast(1 AS int)"
 COPIES = "_copies"
@@ -40,14 +43,22 @@ def _items(order: str, value: str, copies: str) -> Column:
     return F.expr(f"array_sort(collect_list(struct(`{order}` AS o, `{value}` AS v, {copies} AS n)))")
 
 
-def _fold(order: str, value: str, copies: str) -> Column:
-    return F.aggregate(
-        _items(order, value, copies),
-        F.lit(""),
-        lambda text, item: F.concat(text, F.repeat(item["v"], item["n"])),
+def _joined_runs(texts: Column) -> Column:
+    """Texts folded in runs of `RUN`: a buffer is copied at most that often."""
+    starts = F.when(F.size(texts) > 0, F.sequence(F.lit(1), F.size(texts), F.lit(RUN)))
+    return F.transform(
+        starts, lambda at: F.aggregate(F.slice(texts, at, RUN), F.lit(""), lambda text, v: F.concat(text, v))
     )
 
 
+def _fold(order: str, value: str, copies: str) -> Column:
+    """A tree of folds, of the height that a full segment needs; any larger one still fits."""
+    texts = F.transform(_items(order, value, copies), lambda item: F.repeat(item["v"], item["n"]))
+    for _ in range(FOLD_LEVELS):
+        texts = _joined_runs(texts)
+    return F.aggregate(texts, F.lit(""), lambda text, v: F.concat(text, v))
+
+
 def _count_copies(fragments: DataFrame, *columns: str) -> DataFrame:
     """Equal fragments as one row; counted map-side, so a heap of copies moves as one row."""
     return fragments.groupBy(*columns).agg(F.count("*").cast("int").alias(COPIES))
@@ -116,6 +127,14 @@ CONCAT = Aggregator(
 )
 
 
+def _merged(buffers: list[str], aggregator: Aggregator) -> str:
+    """Buffers merged in order, neighbours first, so that no buffer is copied often."""
+    while len(buffers) > 1:
+        merge = aggregator.merge
+        buffers = [merge(*buffers[i : i + 2]) if i + 1 < len(buffers) else buffers[i] for i in range(0, len(buffers), 2)]
+    return buffers[0] if buffers else aggregator.zero()
+
+
 def aggregate_with(
     fragments: DataFrame, key: str, pos: str, value: str,
     aggregator: Aggregator = CONCAT, span: int = SPAN,
@@ -123,8 +142,9 @@ def aggregate_with(
     """Apply a user-defined aggregate in position order.
 
     Spark groups and orders the values; Arrow batches of groups reach the Python steps.
-    `reduce` runs over at most one segment at a time, the buffers of an oversized key are
-    then combined with `merge`, and `finish` makes the result.
+    `reduce` runs over short runs of values, each from `zero`; buffers are combined in order
+    with `merge`, within a segment and over the segments of an oversized key, and `finish`
+    makes the result.
     """
     zero, finish = aggregator.zero, aggregator.finish
 
@@ -133,7 +153,10 @@ def aggregate_with(
         def folded(values: pd.Series, copies: pd.Series) -> pd.Series:
             def one(items, counts):
                 repeated = (v for v, n in zip(items, counts) for _ in range(n))
-                return functools.reduce(step, repeated, zero())
+                if step is aggregator.merge:
+                    return _merged(list(repeated), aggregator)
+                runs = iter(lambda: list(itertools.islice(repeated, RUN)), [])
+                return _merged([functools.reduce(step, run, zero()) for run in runs], aggregator)
 
             return pd.Series([one(v, n) for v, n in zip(values, copies)], dtype=object)
 

@@ -84,26 +84,35 @@ def with_answer_to(grouped: DataFrame, parent_id: int) -> DataFrame:
     return grouped.where((F.col("qid") == parent_id) & belongs)
 
 
+def grouped_with_answer_to(
+    postings: DataFrame, parent_id: int, pairs_per_block: int = PAIRS_PER_BLOCK
+) -> DataFrame:
+    """The blocks of `qa_grouped` for one question, from the postings that can be in them.
+
+    Both scans are filtered by id before anything is counted or joined.
+    """
+    belongs = answered_id(F.col("parent_id")) == parent_id
+    exact = F.col("parent_id") == parent_id
+    wanted = exact | F.col("parent_id").isNull() if parent_id == 0 else exact
+    few = postings.where((is_question() & (F.col("id") == parent_id)) | (is_answer() & wanted & belongs))
+    return with_answer_to(qa_grouped(few, pairs_per_block), parent_id)
+
+
 def best_answer(postings: DataFrame) -> DataFrame:
     """Each answered question with its best answer score, never below 0.
 
-    One scan and one shuffle, no join: questions and answers meet under the question id,
-    and both the maximum score and the choice among duplicate ids (the smallest remaining
-    columns) are combined map-side. A question with very many answers sends one row per
-    map task.
+    Scores are reduced to their maximum per question over integers alone, map-side first,
+    so answers are hashed and never sorted before the exchange; a question with very many
+    answers sends one row per map task. The choice among duplicate ids (the smallest
+    remaining columns) reads the questions only. The two reduced sides then meet.
     """
     others = [c for c in COLUMNS if c != "id"]
-    qid = F.when(is_question(), F.col("id")).otherwise(answered_id(F.col("parent_id")))
-    merged = (
-        postings.where(is_question() | is_answer())
-        .groupBy(qid.alias("id"))
-        .agg(
-            F.min(F.when(is_question(), F.struct(*others))).alias("question"),
-            F.max(F.when(is_answer(), F.col("score"))).alias("best"),
-            F.count_if(is_answer()).alias("answers"),
-        )
+    asked = questions(postings).groupBy("id").agg(F.min(F.struct(*others)).alias("question"))
+    best = (
+        answers(postings).groupBy(answered_id(F.col("parent_id")).alias("qid"))
+        .agg(F.max("score").alias("best"))
     )
-    return merged.where("question IS NOT NULL AND answers > 0").select(
+    return asked.join(best, F.col("id") == F.col("qid")).select(
         *["id" if c == "id" else F.col(f"question.{c}").alias(c) for c in COLUMNS],
         F.greatest(F.lit(0), F.col("best")).alias("high_score"),
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomtally.defaults import SAMPLE_SEED
-from loomtally.functions.ordering import seeded_order
+from loomtally.functions.ordering import PRIME, seeded_order
 
 
 def fixed_sample(rows: DataFrame, size: int, key: str = "id", seed: int = SAMPLE_SEED) -> DataFrame:
@@ -42,7 +44,12 @@ def stratified_sample(
 def fraction_sample(
     rows: DataFrame, fraction: float, key: str | None = None, seed: int = SAMPLE_SEED
 ) -> DataFrame:
-    """Each row with the given probability: by hash of an integer key, or at random."""
+    """Each row with the given probability: by hash of an integer key, or at random.
+
+    The hash has 31 bits, so fractions down to one in two billion are met.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be from 0 to 1")
     if key is None:
-        return rows.sample(fraction=fraction, seed=seed)
-    return rows.where(seeded_order(key, seed) % 1000 < round(fraction * 1000))
+        return rows.sample(fraction=float(fraction), seed=seed)
+    return rows.where(seeded_order(key, seed) < math.floor(fraction * PRIME))

@@ -9,7 +9,7 @@ from loomtally.operators.durable import durable
 # Keys collected for a broadcast look-up at most; more go through a shuffle join.
 MAX_LOOKUP_KEYS = 10_000
 
-KEY, BLOCK, BLOCKS = "_key", "_block", "_blocks"
+KEY, BLOCK, BLOCKS, COPIES = "_key", "_block", "_blocks", "_copies"
 
 
 def oversized_keys(rows: DataFrame, key: Column, limit: int) -> DataFrame | None:
@@ -35,17 +35,19 @@ def oversized_keys(rows: DataFrame, key: Column, limit: int) -> DataFrame | None
 
 
 def with_blocks(rows: DataFrame, key: Column, oversized: DataFrame | None) -> DataFrame:
-    """Adds `_block`: 0 for ordinary keys, a hash of the row for oversized ones.
+    """Adds `_block`: 0 for ordinary keys, a hash of row and copy number for oversized ones.
 
-    The hash includes the input partition, so that exact copies of a row are spread too.
-    A partition that is computed again gives its rows the same blocks.
+    Exact copies of a row are counted map-side and numbered, so they are spread too and the
+    blocks depend on the rows alone, not on how they are partitioned.
     """
     if oversized is None:
         return rows.withColumn(BLOCK, F.lit(0))
     joined = rows.join(oversized, key.eqNullSafe(oversized[KEY]), "left")
-    block = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.col(BLOCKS))
-    placed = F.when(F.col(BLOCKS).isNotNull(), block).otherwise(0).cast("int")
-    return joined.withColumn(BLOCK, placed).drop(KEY, BLOCKS)
+    ordinary = joined.where(F.col(BLOCKS).isNull()).select(*rows.columns, F.lit(0).alias(BLOCK))
+    counted = joined.where(F.col(BLOCKS).isNotNull()).groupBy(*rows.columns, BLOCKS).agg(F.count("*").alias(COPIES))
+    copies = counted.withColumn(COPIES, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(COPIES))))
+    block = F.pmod(F.xxhash64(*rows.columns, COPIES), F.col(BLOCKS)).cast("int")
+    return ordinary.unionByName(copies.select(*rows.columns, block.alias(BLOCK)))
 
 
 def for_every_block(rows: DataFrame, key: Column, oversized: DataFrame | None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from loomtally.functions.ordering import PRIME
 from loomtally.plans import catalog as K, views as V
 
@@ -43,6 +45,14 @@ LINE = (
 
 def _postings(offset: int = 0) -> str:
     return f"""
+asked AS (
+  SELECT o_orderkey AS id, o_orderpriority AS tags, CAST(o_custkey % 100 AS INTEGER) AS score FROM orders
+),
+replied AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, coalesce(l_orderkey, 0) AS parent_id,
+         CAST(trunc(l_quantity) AS INTEGER) + {offset} AS score
+  FROM lineitem
+),
 postings AS (
   SELECT 1 AS posting_type, o_orderkey AS id, CAST(NULL AS BIGINT) AS accepted_answer,
          CAST(NULL AS BIGINT) AS parent_id, CAST(o_custkey % 100 AS INTEGER) AS score,
@@ -56,8 +66,7 @@ postings AS (
 pairs AS (
   SELECT q.id AS qid, q.tags, q.score AS question_score,
          a.id AS answer_id, a.score AS answer_score
-  FROM postings q JOIN postings a
-    ON q.posting_type = 1 AND a.posting_type = 2 AND q.id = coalesce(a.parent_id, 0)
+  FROM asked q JOIN replied a ON q.id = a.parent_id
 ),
 scored AS (
   SELECT qid AS id, tags, question_score AS score,
@@ -288,7 +297,9 @@ SELECT id, x, y FROM vectors ORDER BY {_order('id', str(SAMPLE_SEED))}, id LIMIT
     "stratified_sample": f"WITH {_vectors()},{STRATIFIED} SELECT id, x, y FROM drawn",
     "fraction_sample": f"""WITH {_vectors()}
 SELECT id, x, y FROM vectors
-WHERE {_order('id', str(SAMPLE_SEED))} % 1000 < {round(K.FRACTION * 1000)}""",
+WHERE {_order('id', str(SAMPLE_SEED))} < {math.floor(K.FRACTION * 2147483647)}""",
+    "fraction_sample_small": f"""SELECT l_orderkey * 10 + l_linenumber AS id FROM lineitem
+WHERE {_order('(l_orderkey * 10 + l_linenumber)', str(SAMPLE_SEED))} < {math.floor(K.SMALL_FRACTION * 2147483647)}""",
     "column_groups": f"""WITH {ACTIVITY}, long_form AS ({LONG_FORM})
 SELECT column_name, activity_group, round(sum(minutes), 2) AS minutes
 FROM long_form GROUP BY column_name, activity_group""",
@@ -301,14 +312,14 @@ FROM long_form GROUP BY column_name, activity_group""",
 SELECT working, sex, primaryNeeds, l.n AS n_left, coalesce(r.n, 0) AS n_right,
        CASE WHEN r.n IS NOT NULL THEN 'OK' ELSE 'NOK' END AS flag
 FROM (SELECT working, sex, primaryNeeds, count(*) AS n FROM summary GROUP BY ALL) l
-LEFT JOIN (SELECT working, sex, primaryNeeds, count(*) AS n FROM summary GROUP BY ALL) r
+LEFT JOIN (SELECT working, sex, primaryNeeds, count(*) AS n FROM summary WHERE {K.PARTNERS} GROUP BY ALL) r
 USING (working, sex, primaryNeeds)""",
     "rename_flag": f"""WITH {_summary(ROUNDED_HOURS)}
 SELECT l.*, r.working AS working2, r.sex AS sex2, r.age AS age2,
        r.primaryNeeds AS primaryNeeds2, r.work AS work2, r.other AS other2,
        CASE WHEN l.primaryNeeds = r.primaryNeeds THEN 'OK' ELSE 'NOK' END AS flag
 FROM (SELECT *, count(*) AS n FROM summary GROUP BY ALL) l
-LEFT JOIN (SELECT DISTINCT * FROM summary) r
+LEFT JOIN (SELECT DISTINCT * FROM summary WHERE {K.PARTNERS}) r
   ON l.working = r.working AND l.sex = r.sex AND l.age = r.age
  AND l.primaryNeeds = r.primaryNeeds AND l.work = r.work AND l.other = r.other""",
     "grouped_avg": _averages(1),

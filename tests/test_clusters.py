@@ -161,6 +161,10 @@ def test_sample_sizes(spark):
     assert 3700 < drawn < 4300
     assert 3700 < sampling.fraction_sample(vectors(spark, 20_000), 0.2).count() < 4300
     assert sampling.fixed_sample(vectors(spark), 50, seed=1).count() == 50
+    assert 20 < sampling.fraction_sample(vectors(spark, 100_000), 0.0004, "id").count() < 65
+    assert sampling.fraction_sample(vectors(spark), 0.0, "id").count() == 0
+    with pytest.raises(ValueError):
+        sampling.fraction_sample(vectors(spark), 1.5, "id")
 
 
 def test_stratified_draw_is_even_and_seeded(spark):

@@ -11,10 +11,10 @@ from loomtally.plans import jobs
 
 SCHEMA = "k int, pos int, v string"
 PIECES = [
-    (3, 0, "or"), (1, 0, "sh"), (2, 0, "par"), (3, 1, "der"), (1, 1, "uff"), (3, 2, "ed"),
-    (3, 3, "!"), (2, 1, "ti"), (2, 2, "al"), (1, 2, "le"),
+    (40, 2, "on"), (40, 0, "hor"), (40, 1, "iz"), (-7, 5, "wind"), (-7, 9, "mill"),
+    (12, 1, "b"), (12, 2, "a"), (12, 3, "s"), (12, 4, "al"), (12, 5, "t"), (12, 6, "ic"),
 ]
-WHOLE = [(1, "shuffle"), (2, "partial"), (3, "ordered!")]
+WHOLE = [(-7, "windmill"), (12, "basaltic"), (40, "horizon")]
 FORMS = [G.keyed_concat, G.group_fold, G.aggregate_with]
 
 
@@ -35,7 +35,7 @@ def test_segments_make_up_the_whole(rows):
     texts = {}
     for r in parts:
         texts[r.k] = texts.get(r.k, "") + r.text
-    assert sorted(texts.items()) == WHOLE and len(parts) == 6
+    assert sorted(texts.items()) == WHOLE and len(parts) == 8
 
 
 @pytest.mark.parametrize("form", FORMS)
@@ -61,6 +61,13 @@ def test_heaps_of_copies(spark, form):
     assert cut[0, 0] + cut[0, 1] == expected[0] and cut[1, 2] == "yz"
 
 
+@pytest.mark.parametrize("form", [G.group_fold, G.aggregate_with])
+def test_long_groups_fold_in_order(spark, form):
+    frame = spark.range(20_000).selectExpr("1 AS k", "CAST(19999 - id AS INT) AS pos", "CAST(19999 - id AS STRING) || repeat('.', 90) AS v")
+    [row] = form(frame, "k", "pos", "v").collect()
+    assert row.text == "".join(f"{i}" + "." * 90 for i in range(20_000))
+
+
 def test_user_defined_aggregate(rows):
     longest = G.Aggregator(
         zero=lambda: "", reduce=lambda b, v: max(b, v, key=len),
@@ -68,7 +75,7 @@ def test_user_defined_aggregate(rows):
     )
     for span in (65_536, 2):
         got = G.aggregate_with(rows(PIECES, SCHEMA), "k", "pos", "v", longest, span)
-        assert dict(map(tuple, got.collect())) == {1: "<uff>", 2: "<par>", 3: "<der>"}
+        assert dict(map(tuple, got.collect())) == {-7: "<wind>", 12: "<al>", 40: "<hor>"}
 
 
 def test_range_layout_cuts_common_keys(spark):
