@@ -103,7 +103,12 @@ def _near(text: str, spans: list[tuple[int, int, int]]) -> set[tuple[str, str]]:
     return pairs
 
 
-@F.pandas_udf("struct<base array<struct<kind int, start int, end int>>, near array<struct<entity string, term string>>, entities array<string>>")
+_SCANNED = (
+    "struct<base array<struct<kind int, start int, end int>>,"
+    " near array<struct<entity string, term string>>, entities array<string>>"
+)
+
+
 def _scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         base, near, entities = [], [], []
@@ -141,7 +146,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def scanned(docs: DataFrame) -> DataFrame:
     """`node`, `doc_id`, `base` spans, `near` pairs and `entities` per row, stored."""
-    return durable(_texts(docs).withColumn("s", _scan("text")).select("node", "doc_id", "s.*"))
+    return durable(_texts(docs).withColumn("s", F.pandas_udf(_scan, _SCANNED)("text")).select("node", "doc_id", "s.*"))
 
 
 def disclosing_terms(
