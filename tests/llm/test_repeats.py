@@ -1,0 +1,107 @@
+"""Line dedup, Jaccard join and passages against plain versions."""
+
+import random
+
+import pytest
+
+from compare import difference, open_tables
+from llm import brute
+from loomtally.llm import jaccard_join, line_dedup, substring_dedup
+from loomtally.llm.queries import QUERIES, SQL
+
+SCHEMA = "doc_id long, text string"
+SMALL = "/root/testdata/sf0.001"
+
+
+def near_copies(seed: int) -> list[tuple[int, str | None]]:
+    rng = random.Random(seed)
+    texts: list[str | None] = [None, "", " \n", "two words", "Two  WORDS", "one", "one", "one two"]
+    for _ in range(8):
+        base = brute.words(rng.choice([3, 12, 60, 150]), rng)
+        for _ in range(rng.choice([1, 2, 9])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, 1, 3])):
+                copy[rng.randrange(len(copy))] = "changed"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return list(enumerate(texts, 10))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components(rows, seed):
+    docs = near_copies(seed)
+    got = jaccard_join.jaccard_components(rows(docs, SCHEMA)).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect())) == brute.components(docs)
+
+
+def test_one_of_each_stays(rows):
+    docs = near_copies(3)
+    kept = {r.doc_id for r in jaccard_join.keep_one_of_each(rows(docs, SCHEMA)).collect()}
+    assert kept == {i for i, n, c in brute.components(docs) if i == c}
+
+
+def test_repeated_rows_and_missing_ids(rows):
+    text = " ".join(brute.words(30, random.Random(4)))
+    docs = [(7, text), (7, text), (None, text), (None, "else"), (3, text + " end")]
+    got = jaccard_join.jaccard_components(rows(docs, SCHEMA)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(3, 3), (7, 3), (7, 3), (None, 3), (None, None)], key=str)
+
+
+def lined(seed: int) -> list[tuple[int, str | None]]:
+    rng = random.Random(seed)
+    lines = ["alpha", "beta", "gamma", "delta", "", "  ", "eps\t"]
+    docs = [(i, "\n".join(rng.choices(lines, k=rng.randrange(1, 25)))) for i in range(12)]
+    return [*docs, (20, None), (21, ""), (22, "\n\n"), (23, docs[0][1])]
+
+
+@pytest.mark.parametrize("run", [2, 3, 5])
+def test_later_line_runs_go(rows, run):
+    docs = lined(run)
+    got = line_dedup.dedup_lines(rows(docs, SCHEMA), run).select("doc_id", "text", "n_deleted").collect()
+    assert sorted(map(tuple, got)) == brute.without_copies(docs, run)
+
+
+def test_documents_without_lines_go(rows):
+    docs = [(1, "a\nb\nc"), (2, "a\nb\nc"), (3, "a\nb\nc\nown"), (4, ""), (5, None)]
+    kept = line_dedup.keep_first_lines(rows(docs, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.text) == [(1, "a\nb\nc"), (3, "own")]
+    assert {r.doc_id for r in kept} == {1, 3, 4, 5}
+
+
+def test_line_dedup_is_native(rows):
+    plan = line_dedup.dedup_lines(rows(lined(1), SCHEMA))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_passages(rows):
+    rng = random.Random(5)
+    passage = brute.words(80, rng)
+    near = list(passage)
+    near[40] = "changed"
+    def around(middle):
+        return " ".join(brute.words(100, rng) + middle + brute.words(90, rng))
+    docs = [(i, around(p)) for i, p in enumerate([passage, passage, near, [], brute.words(45, rng)])]
+    docs += [(10, None), (11, ""), (12, "short text"), (13, " ".join(passage[:30]))]
+    found = substring_dedup.near_duplicate_passages(rows(docs, SCHEMA)).collect()
+    assert sorted(r.doc_id for r in found) == [0, 1, 2]
+    for r in found:
+        assert abs(r.start_word - 100) <= 10 and abs(r.end_word - 179) <= 10 and r.first_doc_id == 0
+    assert len({r.class_id for r in found}) == 1
+
+
+def test_compact_windows_hold_every_passage():
+    import numpy as np
+
+    values = np.array([random.Random(6).randrange(9) for _ in range(60)], np.uint64)
+    found = list(substring_dedup.compact_windows(values, 8))
+    for a in range(len(values) - 7):
+        for b in range(a + 7, len(values)):
+            least = values[a : b + 1].min()
+            assert any(l <= a and b <= r and values[c] == least and c <= b and e >= a for l, c, e, r in found)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_agrees_with_sql(spark, name):
+    tables = open_tables(SMALL)
+    assert difference(QUERIES[name](spark, SMALL), tables, SQL[name]) is None
+    tables.close()
