@@ -96,7 +96,7 @@ def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     windows = later_copies(docs, min_run).distinct()
     in_order = Window.partitionBy("node", "doc_id").orderBy("seq")
     before = F.lag("seq").over(in_order)
-    opened = windows.withColumn("new", (before.isNull() | (F.col("seq") > before + min_run)).cast("int"))
+    opened = windows.withColumn("new", (before.isNull() | (F.col("seq") >= before + min_run)).cast("int"))
     islands = opened.withColumn("run", F.sum("new").over(in_order))
     runs = islands.groupBy("node", "doc_id", "run").agg(
         F.min("seq").alias("seq"), (F.max("seq") + min_run - 1).alias("seq_end")
