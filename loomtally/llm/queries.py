@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomtally.llm import (
     ann_tree, byte_bpe, chat_format, decontaminate, disclosure, jaccard_join, language_id, license_scan,
-    line_dedup, substring_dedup,
+    line_dedup, periodic_runs, substring_dedup,
 )
 from loomtally.llm.tables import table
 
@@ -68,11 +68,17 @@ def op10_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_line_dedup, op3_license_scan, op4_byte_bpe,
         op5_decontaminate, op6_language_id, op7_disclosure, op8_chat_format, op9_jaccard_join, op10_ann_tree,
+        op11_periodic_runs,
     )
 }
 

@@ -85,3 +85,18 @@ def personal(text: str) -> list[tuple[int, int, int]]:
         for kind, (pattern, good) in enumerate(patterns)
         for m in re.finditer(pattern, text) if good(m.group())
     ]
+
+
+def runs(words: list, least: int = 24, exponent: int = 3) -> list[tuple[int, int, int]]:
+    """(start, length, period) of every maximal run, by start, then period."""
+    periods: dict[tuple[int, int], int] = {}
+    for p in range(1, len(words) // exponent + 1):
+        at = 0
+        while at + p < len(words):
+            start = at
+            while at + p < len(words) and words[at] == words[at + p]:
+                at += 1
+            if at > start and at + p - start >= max(least, exponent * p):
+                periods.setdefault((start, at + p), p)
+            at = max(at, start + 1)
+    return sorted((s, e - s, p) for (s, e), p in periods.items())
