@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomtally.llm import (
-    ann_tree, byte_bpe, chat_format, decontaminate, disclosure, jaccard_join, language_id, license_scan,
-    line_dedup, periodic_runs, substring_dedup,
+    ann_tree, byte_bpe, chat_format, collocations, decontaminate, disclosure, jaccard_join, language_id, license_scan,
+    line_dedup, periodic_runs, substring_dedup, warc,
 )
 from loomtally.llm.tables import table
 
@@ -73,12 +73,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(docs))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_line_dedup, op3_license_scan, op4_byte_bpe,
         op5_decontaminate, op6_language_id, op7_disclosure, op8_chat_format, op9_jaccard_join, op10_ann_tree,
-        op11_periodic_runs,
+        op11_periodic_runs, op12_collocations, op13_warc,
     )
 }
 
@@ -142,4 +150,48 @@ FROM documents d JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY
 LEFT JOIN sizes ON sizes.doc_id = d.doc_id
 """
 
-SQL: dict[str, str] = {"op2_line_dedup": LINES, "op8_chat_format": CHATS, "op9_jaccard_join": JACCARD}
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, range(1, 6) t(m)),
+f AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM places GROUP BY ALL HAVING count(*) >= 100),
+held AS (
+  SELECT DISTINCT s.lang, s.phrase FROM f s JOIN f g ON s.lang = g.lang AND s.m < g.m AND s.m > 1
+    AND contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * g.f >= 100 * s.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k
+  FROM f WHERE m > 1 AND (lang, phrase) NOT IN (SELECT (lang, phrase) FROM held)),
+scores AS (
+  SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, n, k,
+    CAST((1000 :: HUGEINT * a * n) // (x.f :: HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1 : len(w)], ' ')),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+ARCHIVES = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages),
+digests AS (SELECT *, sha1(payload) AS hex FROM payloads),
+bits AS (SELECT *, [CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT) FOR i IN range(8)] AS v FROM digests)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)
+    FOR s IN [15, 10, 5, 0]], '') FOR x IN v], '') AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM bits
+"""
+
+SQL: dict[str, str] = {
+    "op2_line_dedup": LINES, "op8_chat_format": CHATS, "op9_jaccard_join": JACCARD, "op12_collocations": PHRASES,
+    "op13_warc": ARCHIVES,
+}
