@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,7 @@ from loomtally.defaults import (
 )
 from loomtally.functions.points import Point, nearest, sq_distance, total_shift
 from loomtally.operators.durable import durable
+from loomtally.operators.journal import Journal
 from loomtally.operators.medians import group_median
 from loomtally.operators.sampling import fixed_sample, stratified_sample
 
@@ -67,22 +69,44 @@ def kmeans(
     centers: Sequence[Point],
     eta: float = ETA,
     max_updates: int = MAX_UPDATES,
+    journal: str | None = None,
 ) -> Clustering:
     """Updates until the summed squared shift of all centres falls below `eta`.
 
     `points` are weighted rows, best stored with `durable`. Centres travel as literals, so
     every update is one small job over the same plan and lineage does not grow.
+
+    With a `journal` (a folder that outlives the session) every update is written down, and the
+    iteration goes on from the last one that is there: over the same points and starting
+    centres, it ends with the same centres as if it had never been interrupted.
     """
     if not centers:
         raise ValueError("k-means needs at least one centre")
     centers = [tuple(center) for center in centers]
-    for update in range(1, max_updates + 1):
+    done, kept = 0, None
+    if journal is not None:
+        kept = Journal(points.sparkSession, journal, run_fingerprint(points, centers))
+        latest = kept.latest()
+        if latest is not None:
+            done, rows = latest
+            centers = [(row["x"], row["y"]) for row in sorted(rows, key=lambda row: row["cluster"])]
+            if rows[0]["shift"] < eta:
+                return Clustering(centers, done, True)
+    for update in range(done + 1, max_updates + 1):
         moved = next_centers(points, centers)
         shift = total_shift(centers, moved)
         centers = moved
+        if kept is not None:
+            kept.record(update, centers_frame(points.sparkSession, centers).withColumn("shift", F.lit(shift)))
         if shift < eta:
             return Clustering(centers, update, True)
-    return Clustering(centers, max_updates, False)
+    return Clustering(centers, max(done, max_updates), False)
+
+
+def run_fingerprint(points: DataFrame, centers: Sequence[Point]) -> str:
+    """Stands for the points, whatever their order, and the starting centres."""
+    seen = points.agg(F.count("*").alias("n"), F.sum("w").alias("w"), F.bit_xor(F.xxhash64("x", "y", "w")).alias("h")).first()
+    return hashlib.sha256(repr((tuple(seen), [tuple(map(int, c)) for c in centers])).encode()).hexdigest()
 
 
 def centers_frame(spark: SparkSession, centers: Sequence[Point]) -> DataFrame:

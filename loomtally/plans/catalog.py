@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loomtally.functions import survey as columns
 from loomtally.functions.points import Point
 from loomtally.operators import (
-    clusters as C, fragments as G, layout, questions as Q, sampling, summary as S, terms as T,
+    clusters as C, fragments as G, layout, posting_lists as P, questions as Q, sampling, summary as S, terms as T,
 )
-from loomtally.operators.durable import durable, new_path
-from loomtally.operators.medians import group_median
+from loomtally.operators.center_tree import assign_from_table
+from loomtally.operators.durable import durable, durable_at, new_path, release, remove
+from loomtally.operators.medians import group_median, group_median_wide
+from loomtally.operators.phrases import phrase_join as phrases_in
+from loomtally.operators.pruned import kmeans_pruned as pruned
 from loomtally.plans import jobs, views as V
 from loomtally.sources.articles import parse_articles
 from loomtally.sources.postings import parse_postings
-from loomtally.sources.survey import read_survey
+from loomtally.sources.survey import read_survey, read_surveys
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +35,10 @@ SMALL_FRACTION = 0.0004
 PARTNERS = "age <> 'young'"
 ID_SPAN = 256
 SEGMENT_SPAN = 3
+MET_TERMS = ("the", "of", "and", "in")
+LARGE_QUOTA = 5000
+POSITION_RANGES = 64
+PHRASE_WORDS = (2, 3)
 BELOW_ZERO = -25
 
 
@@ -60,6 +67,24 @@ def index_blocks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _lists(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "lists")
+    P.store(P.posting_lists(inverted_index(spark, folder), "doc_id", ID_SPAN), path)
+    return P.stored(spark, path)
+
+
+def posting_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return _lists(spark, folder).select("term", "block", "lo", "hi", "n", "mentions")
+
+
+def posting_intersect(spark: SparkSession, folder: str) -> DataFrame:
+    return P.intersect(_lists(spark, folder), MET_TERMS).select(F.col("id").alias("doc_id"))
+
+
+def rank_from_lists(spark: SparkSession, folder: str) -> DataFrame:
+    return P.rank_from_lists(_lists(spark, folder))
+
+
 def rank_from_index(spark: SparkSession, folder: str) -> DataFrame:
     return T.rank_from_index(_blocks(spark, folder))
 
@@ -68,6 +93,11 @@ def range_layout(spark: SparkSession, folder: str) -> DataFrame:
     return layout.range_layout(inverted_index(spark, folder), 10, "term", "doc_id")
 
 
+def ordered_positions(spark: SparkSession, folder: str) -> DataFrame:
+    rows = V.table(spark, folder, "lineitem").select("l_suppkey", "l_quantity", "l_returnflag")
+    return layout.ordered_positions(rows, "l_returnflag", "l_quantity", ranges=POSITION_RANGES)
+
+
 def mention_count(spark: SparkSession, folder: str) -> DataFrame:
     return T.count_mentions(V.articles(spark, folder), "the")
 
@@ -81,6 +111,17 @@ def mention_join(spark: SparkSession, folder: str) -> DataFrame:
     return T.mention_join(V.articles(spark, folder), words, "doc_id")
 
 
+def phrase_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every run of two or three words that a benchmark item holds, in every document."""
+    words = F.split("text", " ")
+    runs = [
+        V.table(spark, folder, "benchmark").select(words.alias("w")).where(F.size("w") >= m)
+        .select(F.explode(F.expr(f"transform(sequence(1, size(w) - {m - 1}), i -> array_join(slice(w, i, {m}), ' '))")).alias("term"))
+        for m in PHRASE_WORDS
+    ]
+    return phrases_in(V.articles(spark, folder), runs[0].unionByName(runs[1]), "doc_id")
+
+
 def top_terms(spark: SparkSession, folder: str) -> DataFrame:
     return T.top_terms(T.term_counts(V.articles(spark, folder), V.DOCUMENT_TERMS), 3)
 
@@ -101,6 +142,16 @@ def survey_file(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(S.grouped_avg(S.summarize(read_survey(spark, path))))
 
 
+def survey_files_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the rows in files whose columns stand the other way round."""
+    path, rows = new_path(spark, "surveys"), V.activity(spark, folder)
+    half = F.pmod(F.xxhash64("tucaseid"), F.lit(2)) == 0
+    rows.where(half).write.option("header", True).csv(path)
+    turned = rows.where(~half).select("tucaseid", *reversed(rows.columns[1:]))
+    turned.write.mode("append").option("header", True).csv(path)
+    return _plain(S.grouped_avg(S.summarize(read_surveys(spark, path, rows.columns))))
+
+
 # --- questions -----------------------------------------------------------------------
 
 def qa_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -149,6 +200,17 @@ def nearest_center(spark: SparkSession, folder: str) -> DataFrame:
     return C.assign(*_start(spark, folder))
 
 
+def nearest_center_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Each order's nearest part, both placed on a grid; the parts are the centres."""
+    centers = V.table(spark, folder, "part").select(
+        F.col("p_partkey").alias("cluster"), F.col("p_size").cast("int").alias("x"), F.expr("cast(p_retailprice as int) % 100").alias("y")
+    )
+    points = V.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), F.expr("cast(o_custkey % 53 as int)").alias("x"), F.expr("cast(o_totalprice as int) % 103").alias("y")
+    )
+    return assign_from_table(points, centers)
+
+
 def point_distance(spark: SparkSession, folder: str) -> DataFrame:
     return C.with_distance(_vectors(spark, folder), DISTANT_POINT)
 
@@ -167,11 +229,32 @@ def centroid_shift(spark: SparkSession, folder: str) -> DataFrame:
 def _clustered(spark: SparkSession, folder: str) -> tuple[DataFrame, C.Clustering]:
     vectors, centers = _start(spark, folder)
     points = C.weighted_points(vectors)
+    release(vectors)
     return points, C.kmeans(points, centers)
 
 
 def kmeans(spark: SparkSession, folder: str) -> DataFrame:
-    _, found = _clustered(spark, folder)
+    points, found = _clustered(spark, folder)
+    release(points)
+    return C.centers_frame(spark, found.centers).withColumn("updates", F.lit(found.updates))
+
+
+def kmeans_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """Stopped after two updates, then taken up from its journal."""
+    vectors, centers = _start(spark, folder)
+    journal = new_path(spark, "journal")
+    points = durable_at(C.collapse(vectors), f"{journal}/points")
+    C.kmeans(points, centers, max_updates=2, journal=journal)
+    found = C.kmeans(durable_at(C.collapse(vectors), f"{journal}/points"), centers, journal=journal)
+    release(vectors)
+    remove(spark, journal)
+    return C.centers_frame(spark, found.centers).withColumn("updates", F.lit(found.updates))
+
+
+def kmeans_pruned(spark: SparkSession, folder: str) -> DataFrame:
+    vectors, centers = _start(spark, folder)
+    found = pruned(C.collapse(vectors), centers).clustering
+    release(vectors)
     return C.centers_frame(spark, found.centers).withColumn("updates", F.lit(found.updates))
 
 
@@ -196,6 +279,10 @@ def group_median_query(spark: SparkSession, folder: str) -> DataFrame:
     return group_median(rows, "l_suppkey", "quantity")
 
 
+def group_median_wide_query(spark: SparkSession, folder: str) -> DataFrame:
+    return group_median_wide(V.table(spark, folder, "lineitem"), "l_suppkey", "l_extendedprice")
+
+
 # --- samples -------------------------------------------------------------------------
 
 def fixed_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,6 +293,13 @@ def stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.stratified_sample(_vectors(spark, folder), "x", QUOTA)
 
 
+def stratified_sample_large(spark: SparkSession, folder: str) -> DataFrame:
+    rows = V.table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_returnflag", "l_quantity"
+    )
+    return sampling.stratified_sample(rows, "l_returnflag", LARGE_QUOTA, seed=LARGE_QUOTA, short="keep")
+
+
 def fraction_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.fraction_sample(_vectors(spark, folder), FRACTION, "id")
 
@@ -316,32 +410,43 @@ QUERIES: dict[str, Query] = {
     "rank_combined": rank_combined,
     "rank_terms": rank_terms,
     "rank_from_index": rank_from_index,
+    "posting_blocks": posting_blocks,
+    "posting_intersect": posting_intersect,
+    "rank_from_lists": rank_from_lists,
     "inverted_index": inverted_index,
     "index_blocks": index_blocks,
     "range_layout": range_layout,
+    "ordered_positions": ordered_positions,
     "mention_count": mention_count,
     "mention_filter": mention_filter,
     "mention_join": mention_join,
+    "phrase_join": phrase_join,
     "top_terms": top_terms,
     "article_parse": article_parse,
     "posting_parse": posting_parse,
     "survey_file": survey_file,
+    "survey_files_mixed": survey_files_mixed,
     "qa_join": qa_join,
     "qa_grouped": qa_grouped,
     "nested_exists": nested_exists,
     "best_answer": best_answer,
     "tag_vectors": tag_vectors,
     "nearest_center": nearest_center,
+    "nearest_center_table": nearest_center_table,
     "point_distance": point_distance,
     "kmeans_step": kmeans_step,
     "centroid_shift": centroid_shift,
     "kmeans": kmeans,
+    "kmeans_resumed": kmeans_resumed,
+    "kmeans_pruned": kmeans_pruned,
     "cluster_histogram": cluster_histogram,
     "group_median": group_median_query,
+    "group_median_wide": group_median_wide_query,
     "cluster_report": cluster_report,
     "cluster_report_intpct": cluster_report_intpct,
     "fixed_sample": fixed_sample,
     "stratified_sample": stratified_sample,
+    "stratified_sample_large": stratified_sample_large,
     "fraction_sample": fraction_sample,
     "fraction_sample_small": fraction_sample_small,
     "column_groups": column_groups,

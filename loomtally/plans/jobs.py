@@ -10,7 +10,7 @@ from loomtally.defaults import (
     CLUSTERS, ETA, MAX_UPDATES, PROGRAMMING_LANGUAGES, TAG_SPREAD,
 )
 from loomtally.operators import clusters as C, questions as Q, summary as S, terms as T
-from loomtally.operators.durable import durable
+from loomtally.operators.durable import durable, durable_at, release
 from loomtally.sources.articles import read_articles
 from loomtally.sources.postings import read_postings
 from loomtally.sources.survey import read_survey
@@ -31,16 +31,26 @@ def cluster_postings(
     eta: float = ETA,
     max_updates: int = MAX_UPDATES,
     integer_percent: bool = False,
+    journal: str | None = None,
 ) -> DataFrame:
     """Postings to cluster report.
 
     The postings are read and shuffled once: starting centres and collapsed points both
-    come from the stored vectors, and the updates see the collapsed points only.
+    come from the stored vectors, and the updates see the collapsed points only. The vectors
+    are removed as soon as the points are stored.
+
+    With a `journal` folder, vectors, points and updates are kept there: run again over the same
+    postings after a lost driver, the job takes up where it was. The folder is the caller's.
     """
-    vectors = durable(Q.tag_vectors(Q.best_answer(postings), vocabulary, spread))
+    scored = Q.tag_vectors(Q.best_answer(postings), vocabulary, spread)
+    vectors = durable(scored) if journal is None else durable_at(scored, f"{journal}/vectors")
     centers = C.sample_centers(vectors, len(vocabulary), clusters, spread)
-    points = C.weighted_points(vectors)
-    found = C.kmeans(points, centers, eta, max_updates)
+    if journal is None:
+        points = C.weighted_points(vectors)
+        release(vectors)
+    else:
+        points = durable_at(C.collapse(vectors), f"{journal}/points")
+    found = C.kmeans(points, centers, eta, max_updates, journal)
     return C.cluster_report(points, found.centers, vocabulary, spread, integer_percent)
 
 

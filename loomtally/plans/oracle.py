@@ -243,6 +243,17 @@ FROM (SELECT unnest({_strings(V.DOCUMENT_TERMS)}) AS term) v LEFT JOIN hits h ON
 GROUP BY v.term""",
     "inverted_index": f"WITH {HITS} SELECT term, doc_id FROM hits",
     "range_layout": f"WITH {HITS} SELECT term, doc_id FROM hits ORDER BY term, doc_id",
+    "posting_blocks": f"""WITH {HITS}
+SELECT term, doc_id // {K.ID_SPAN} AS block, min(doc_id) AS lo, max(doc_id) AS hi,
+       CAST(count(DISTINCT doc_id) AS INTEGER) AS n, count(*) AS mentions
+FROM hits GROUP BY term, doc_id // {K.ID_SPAN}""",
+    "posting_intersect": f"""WITH {HITS}
+SELECT doc_id FROM hits WHERE list_contains({_strings(K.MET_TERMS)}, term)
+GROUP BY doc_id HAVING count(DISTINCT term) = {len(K.MET_TERMS)}""",
+    "rank_from_lists": RANKING,
+    "ordered_positions": """
+SELECT l_suppkey, l_quantity, l_returnflag,
+       row_number() OVER (ORDER BY l_returnflag, l_quantity, l_suppkey) AS position FROM lineitem""",
     "index_blocks": f"""WITH {HITS}
 SELECT term, doc_id // {K.ID_SPAN} AS block, CAST(count(*) AS INTEGER) AS n_articles,
        string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS articles
@@ -255,6 +266,14 @@ WHERE list_contains(string_split(text, ' '), 'the')""",
 WITH vocabulary AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS term FROM benchmark),
 words AS (SELECT doc_id, unnest(list_distinct(string_split(text, ' '))) AS term FROM documents)
 SELECT term, doc_id FROM words JOIN vocabulary USING (term)""",
+    "phrase_join": f"""
+WITH items AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+runs AS (SELECT w, m, unnest(range(1, len(w) - m + 2)) AS i FROM items, (SELECT unnest({list(K.PHRASE_WORDS)}) AS m)),
+vocabulary AS (SELECT DISTINCT array_to_string(w[i : i + m - 1], ' ') AS term FROM runs),
+split AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents),
+places AS (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM split, (SELECT unnest({list(K.PHRASE_WORDS)}) AS m)),
+found AS (SELECT doc_id, array_to_string(w[i : i + m - 1], ' ') AS term FROM places)
+SELECT term, doc_id, count(*) AS n FROM found JOIN vocabulary USING (term) GROUP BY term, doc_id""",
     "top_terms": f"{RANKING} ORDER BY n DESC, term LIMIT 3",
     "article_parse": f"""
 WITH lines AS (SELECT doc_id, {LINE} AS line FROM documents),
@@ -263,6 +282,7 @@ SELECT doc_id, substr(line, 15, p - 15) AS title,
        substr(line, p + 14, length(line) - p - 29) AS text FROM marked""",
     "posting_parse": f"WITH {_postings()} SELECT * FROM postings",
     "survey_file": _averages(1),
+    "survey_files_mixed": _averages(1),
     "qa_join": f"WITH {_postings()} SELECT * FROM pairs",
     "qa_grouped": f"""WITH {_postings()}
 SELECT qid, 0 AS block, CAST(count(*) AS INTEGER) AS n_pairs,
@@ -277,6 +297,16 @@ SELECT q.posting_type, q.id, q.accepted_answer, q.parent_id, q.score, q.tags, s.
 FROM postings q JOIN scored s ON q.posting_type = 1 AND q.id = s.id""",
     "tag_vectors": f"WITH {_vectors(K.KNOWN_TAGS)} SELECT id, x, y FROM vectors",
     "nearest_center": f"WITH {START} {_assigned('vectors', 'seeds', 'id, x, y')}",
+    "nearest_center_table": """
+WITH centers AS (
+  SELECT p_partkey AS cluster, CAST(p_size AS INTEGER) AS cx, CAST(trunc(p_retailprice) AS INTEGER) % 100 AS cy FROM part),
+points AS (
+  SELECT o_orderkey AS id, CAST(o_custkey % 53 AS INTEGER) AS x, CAST(trunc(o_totalprice) AS INTEGER) % 103 AS y FROM orders),
+places AS (SELECT DISTINCT x, y FROM points),
+nearest AS (
+  SELECT x, y, arg_min(cluster, ((CAST(x AS DOUBLE) - cx) ** 2 + (CAST(y AS DOUBLE) - cy) ** 2) * 1e9 + cluster) AS cluster
+  FROM places, centers GROUP BY x, y)
+SELECT id, x, y, CAST(cluster AS BIGINT) AS cluster FROM points JOIN nearest USING (x, y)""",
     "point_distance": f"""WITH {_vectors()}
 SELECT id, x, y, (CAST(x AS DOUBLE) - {K.DISTANT_POINT[0]}) ** 2
        + (CAST(y AS DOUBLE) - {K.DISTANT_POINT[1]}) ** 2 AS sq_distance FROM vectors""",
@@ -285,6 +315,8 @@ SELECT id, x, y, (CAST(x AS DOUBLE) - {K.DISTANT_POINT[0]}) ** 2
 SELECT sum((CAST(a.x AS DOUBLE) - b.x) ** 2 + (CAST(a.y AS DOUBLE) - b.y) ** 2) AS shift
 FROM seeds b JOIN step a USING (cluster)""",
     "kmeans": f"{CLUSTERED} SELECT cluster, x, y, CAST(update_no AS INTEGER) AS updates FROM centers",
+    "kmeans_resumed": f"{CLUSTERED} SELECT cluster, x, y, CAST(update_no AS INTEGER) AS updates FROM centers",
+    "kmeans_pruned": f"{CLUSTERED} SELECT cluster, x, y, CAST(update_no AS INTEGER) AS updates FROM centers",
     "cluster_histogram": f"{CLUSTERED} SELECT cluster, tag_index, n FROM histogram",
     "cluster_report": _report("n * 100.0 / size"),
     "cluster_report_intpct": _report("n // size * 100"),
@@ -292,9 +324,17 @@ FROM seeds b JOIN step a USING (cluster)""",
 SELECT l_suppkey, len(q) AS n, CAST((q[(len(q) + 1) // 2] + q[len(q) // 2 + 1]) // 2 AS INTEGER) AS median
 FROM (SELECT l_suppkey, list_sort(list(CAST(trunc(l_quantity) AS INTEGER) + {K.BELOW_ZERO})) AS q
       FROM lineitem GROUP BY l_suppkey)""",
+    "group_median_wide": """
+SELECT l_suppkey, len(q) AS n, (q[(len(q) + 1) // 2] + q[len(q) // 2 + 1]) / 2 AS median
+FROM (SELECT l_suppkey, list_sort(list(l_extendedprice)) AS q FROM lineitem GROUP BY l_suppkey)""",
     "fixed_sample": f"""WITH {_vectors()}
 SELECT id, x, y FROM vectors ORDER BY {_order('id', str(SAMPLE_SEED))}, id LIMIT {K.CLUSTERS}""",
     "stratified_sample": f"WITH {_vectors()},{STRATIFIED} SELECT id, x, y FROM drawn",
+    "stratified_sample_large": f"""
+SELECT id, l_returnflag, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY {_order('id', str(K.LARGE_QUOTA))}, id) AS rn
+  FROM (SELECT l_orderkey * 10 + l_linenumber AS id, l_returnflag, l_quantity FROM lineitem))
+WHERE rn <= {K.LARGE_QUOTA}""",
     "fraction_sample": f"""WITH {_vectors()}
 SELECT id, x, y FROM vectors
 WHERE {_order('id', str(SAMPLE_SEED))} < {math.floor(K.FRACTION * 2147483647)}""",

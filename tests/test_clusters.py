@@ -1,12 +1,16 @@
 """Points, medians, samples, k-means and the cluster report."""
 
+import math
 import random
+from decimal import Decimal
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from loomtally.functions.ordering import seeded_order
 from loomtally.functions.points import total_shift
-from loomtally.operators import clusters as C, sampling
+from loomtally.operators import center_tree, clusters as C, medians, pruned, sampling
 from loomtally.operators.medians import group_median
 from loomtally.plans import jobs
 
@@ -133,6 +137,126 @@ def test_median_needs_integers(rows):
         group_median(rows([("g", 1.5)], "g string, v double"), "g", "v")
 
 
+def middle(values):
+    values = sorted(values)
+    return values[(len(values) - 1) // 2], values[len(values) // 2]
+
+
+@pytest.mark.parametrize("lookup", [1_000_000, 0])
+def test_wide_medians(spark, monkeypatch, lookup):
+    monkeypatch.setattr(medians, "MAX_BROADCAST_RANGES", lookup)
+    rng = random.Random(12)
+    whole = [2**63 - 1, -(2**63), 0, -1, 1, 2**47, 65535, -65536]
+    data = []
+    for _ in range(700):
+        big = rng.choice([rng.choice(whole), rng.randint(-(2**63), 2**63 - 1), rng.randint(-9, 9)])
+        real = rng.choice([0.0, -0.0, rng.gauss(0, 1), rng.uniform(-1e300, 1e300), float("inf"), -float("inf"), 5e-324, rng.randint(-3, 3) / 2])
+        data.append((rng.choice(["a", "b", "b", "b", None]), big, real, Decimal(rng.randint(-(10**15) + 1, 10**15 - 1)).scaleb(-4), rng.randint(0, 3)))
+    data += [("c", None, None, None, 1), ("d", 7, 1.5, Decimal("0.0001"), 0), ("e", -3, float("nan"), Decimal("-0.0001"), 1), ("e", -4, 2.0, Decimal("0.0002"), 1)]
+    frame = spark.createDataFrame(data, "g string, big bigint, real double, exact decimal(15,4), w int").repartition(5)
+    groups = {}
+    for g, *row in data:
+        groups.setdefault(g, []).extend([row] * row[3] if row[0] is not None else [])
+    groups = {g: rows for g, rows in groups.items() if rows}
+    half = lambda a, b: -(-(a + b) // 2) if a + b < 0 else (a + b) // 2
+    got = {r.g: (r.n, r.median) for r in medians.group_median_wide(frame, "g", "big", F.col("w")).collect()}
+    assert got == {g: (len(rows), half(*middle(r[0] for r in rows))) for g, rows in groups.items()}
+    got = {r.g: r.median for r in medians.group_median_wide(frame, "g", "exact", F.col("w")).collect()}
+    assert got == {g: sum(middle(r[2] for r in rows)) / 2 for g, rows in groups.items()}
+    got = {r.g: r.median for r in medians.group_median_wide(frame, "g", "real", F.col("w")).collect()}
+    assert math.isnan(got.pop("e"))
+    expected = {g: (lambda a, b: (a + b) / 2)(*middle(r[1] for r in rows)) for g, rows in groups.items() if g != "e"}
+    assert {g: repr(m) for g, m in got.items()} == {g: repr(m + 0.0) for g, m in expected.items()}
+
+
+def test_wide_median_equals_the_narrow_one(spark):
+    frame = spark.range(5000).selectExpr("id % 7 AS g", "cast(id * 7919 % 1000003 - 500000 AS int) AS v")
+    narrow = {tuple(r) for r in group_median(frame, "g", "v").collect()}
+    assert {tuple(r) for r in medians.group_median_wide(frame, "g", "v").collect()} == narrow
+    assert medians.group_median_wide(frame.where("g > 9"), "g", "v").collect() == []
+    with pytest.raises(ValueError, match="no median"):
+        medians.group_median_wide(frame.selectExpr("g", "cast(v AS string) AS v"), "g", "v")
+
+
+# --- bounds --------------------------------------------------------------------------
+
+
+def spread_points(spark, n=20_000):
+    return spark.range(n).select(
+        (F.xxhash64("id") % 5000).cast("int").alias("x"), (F.xxhash64("id", F.lit(1)) % 5000).cast("int").alias("y"), (F.col("id") % 3 + 1).alias("w")
+    )
+
+
+def test_pruned_updates_give_the_same_centers(spark):
+    points = spread_points(spark).cache()
+    rng = random.Random(3)
+    centers = [(rng.randint(-5000, 5000), rng.randint(-5000, 5000)) for _ in range(1000)]
+    rows = np.array([tuple(r) for r in points.collect()], np.int64)
+    means = [tuple(c) for c in centers]
+    for _ in range(12):
+        now = np.array(means, float)
+        cluster = np.concatenate([
+            ((part[:, None, :2] - now[None]) ** 2).sum(axis=2).argmin(axis=1) for part in np.array_split(rows.astype(float), 40)
+        ])
+        for j in range(1000):
+            own = rows[cluster == j]
+            if len(own):
+                total = (own[:, :2] * own[:, 2:]).sum(axis=0).tolist()
+                means[j] = tuple(int(t / own[:, 2].sum()) if abs(t) < 2**50 else t for t in total)
+    found = pruned.kmeans_pruned(points, centers, eta=0.0, max_updates=12)
+    assert found.clustering.centers == means and found.clustering.updates == 12
+    assert found.possible == 12 * 20_000 * 1000 and found.skipped > 0.3
+    points.unpersist()
+
+
+@pytest.mark.parametrize("k", [1, 2, 7])
+def test_pruned_equals_plain(spark, monkeypatch, k):
+    points = spark.range(900).selectExpr("cast(id % 31 AS int) AS x", "cast(id % 29 AS int) AS y", "1L AS w")
+    centers = [(i % 3, i % 3) for i in range(k)]
+    plain = C.kmeans(points, centers, eta=0.5)
+    assert pruned.kmeans_pruned(points, centers, eta=0.5).clustering == plain
+    monkeypatch.setattr(pruned, "MUTUAL", 0)
+    monkeypatch.setattr(pruned, "CELLS", 5)
+    assert pruned.kmeans_pruned(points, centers, eta=0.5).clustering == plain
+    assert pruned.kmeans_pruned(points.where("x < 0"), centers, eta=0.5).clustering == C.kmeans(points.where("x < 0"), centers, eta=0.5)
+
+
+# --- centres in a table --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [0, 1, 16, 17, 400])
+def test_tree_finds_the_first_nearest(n):
+    rng = np.random.default_rng(n)
+    centers = rng.integers(-20, 20, (n, 2))
+    index = rng.permutation(10 * n)[:n]
+    asked = rng.integers(-30, 30, (3000, 2))
+    found, squares, computed = center_tree.Tree(centers[:, 0], centers[:, 1], index).nearest(asked[:, 0], asked[:, 1])
+    if n:
+        exact = ((asked[:, None] - centers[None]) ** 2).sum(axis=2)
+        assert (squares == exact.min(axis=1)).all()
+        first = np.where(exact == exact.min(axis=1)[:, None], index, 10**9).min(axis=1)
+        assert (found == first).all()
+        assert n < 400 or computed < 0.5 * exact.size
+    else:
+        assert np.isinf(squares).all()
+
+
+@pytest.mark.parametrize("limit", [500_000, 60])
+def test_centers_from_a_table(spark, monkeypatch, limit):
+    monkeypatch.setattr(center_tree, "MAX_TREE_CENTERS", limit)
+    rng = random.Random(2)
+    centers = [(i * 3 - 50, rng.randrange(25), rng.choice([None, *range(25)])) for i in range(300)]
+    points = [(rng.choice([None, *range(-5, 30)]), rng.randrange(-5, 30), ["kept"]) for _ in range(500)]
+    got = center_tree.assign_from_table(
+        spark.createDataFrame(points, "x int, y int, more array<string>").repartition(3), spark.createDataFrame(centers, "cluster int, x int, y int")
+    )
+    def nearest(x, y):
+        return x if x is None else min(((x - a) ** 2 + (y - b) ** 2, i) for i, a, b in centers if b is not None)[1]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((x, y, m, nearest(x, y))) for x, y, m in points)
+    none = center_tree.assign_from_table(spark.createDataFrame(points, "x int, y int, more array<string>"), spark.createDataFrame([], "cluster int, x int, y int"))
+    assert {r.cluster for r in none.collect()} == {None}
+
+
 # --- samples -------------------------------------------------------------------------
 
 
@@ -196,6 +320,29 @@ def test_rank_limit_runs_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan.executedPlan().toString()
 
 
+@pytest.mark.parametrize("kept, heap", [(500_000, 20_000), (100, 64), (10, 1)])
+def test_large_quotas(spark, monkeypatch, kept, heap):
+    monkeypatch.setattr(sampling, "KEPT_ROWS", kept)
+    monkeypatch.setattr(sampling, "HEAP_ROWS", heap)
+    v = vectors(spark, 24_000).withColumn("x", F.when(F.col("id") % 40 == 0, None).when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 7))
+    v = v.withColumn("more", F.array(F.col("id"), F.lit(None)))
+    ordered = F.row_number().over(Window.partitionBy("x").orderBy(seeded_order("id", 5), "id"))
+    expected = v.withColumn("n", ordered).where("n <= 5000").drop("n")
+    got = sampling.stratified_sample(v, "x", 5000, seed=5, short="keep")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    assert got.columns == v.columns
+    assert sampling.stratified_sample(v.where("id < 0"), "x", 5000, short="keep").collect() == []
+    with pytest.raises(Exception, match="a stratum needs at least 5000 rows"):
+        sampling.stratified_sample(v, "x", 5000, seed=5).collect()
+
+
+def test_tasks_send_no_more_than_the_quota(spark):
+    v = vectors(spark, 90_000).withColumn("_order", seeded_order("id", 1))
+    sent = sampling.leading_rows(v, "x", 5000, "id").withColumn("p", F.spark_partition_id())
+    counts = sent.groupBy("p", "x").count().collect()
+    assert len(counts) == 12 and {r["count"] for r in counts} == {5000}
+
+
 # --- report --------------------------------------------------------------------------
 
 

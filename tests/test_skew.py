@@ -1,0 +1,85 @@
+"""Heavy keys: the sketch's bounds, exact recounts, and joins that never shuffle a raw heavy key."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from loomtally.operators import skew
+
+SCHEMA = "k long, v int"
+
+
+def skewed(seed: int, n: int = 6000) -> list[tuple]:
+    rng = random.Random(seed)
+    keys = [None if i % 11 == 0 else 1 if i % 3 == 0 else min(int(rng.paretovariate(0.7)), 10**9) + 1 for i in range(n)]
+    return [(k, rng.randrange(5)) for k in keys]
+
+
+@pytest.mark.parametrize("counters", [1, 5, 40, 10_000])
+def test_summaries_bound_every_count(counters):
+    rng = np.random.default_rng(counters)
+    parts = [np.minimum(rng.zipf(1.3, 3000), 10**6).astype(np.int64) for _ in range(4)]
+    merged, error, none = Counter(), 0, np.zeros(0, np.int64)
+    for part in parts:
+        known, total = none, none
+        for piece in np.array_split(part, 7):
+            known, total, lowered = skew.summary(np.append(known, piece), np.append(total, np.ones(len(piece), np.int64)), counters)
+            error += lowered
+            assert len(known) <= counters
+        for k, n in zip(known.tolist(), total.tolist()):
+            merged[k] += n
+    exact = Counter(np.concatenate(parts).tolist())
+    assert error <= sum(map(len, parts)) / (counters + 1)
+    assert all(merged[k] <= n <= merged[k] + error for k, n in exact.items())
+    assert merged.keys() <= exact.keys()
+
+
+@pytest.mark.parametrize("counters, lookup, broadcast", [
+    (100_000, 10_000, 10**6), (200, 10_000, 10**6), (3, 10_000, 10**6), (100_000, 2, 10**6), (100_000, 2, 3),
+])
+def test_oversized_keys(spark, monkeypatch, counters, lookup, broadcast):
+    monkeypatch.setattr(skew, "COUNTERS", counters)
+    monkeypatch.setattr(skew, "MAX_LOOKUP_KEYS", lookup)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", broadcast)
+    data, limit = skewed(1), 100
+    frame = spark.createDataFrame(data, SCHEMA).repartition(5)
+    counts = Counter(k for k, _ in data)
+    heavy = {k: -(-n // limit) for k, n in counts.items() if n > limit}
+    assert len(heavy) > 3
+    found = skew.oversized_keys(frame, F.col("k"), limit)
+    assert dict(map(tuple, found.keys.collect())) == heavy
+    assert found.small == (len(heavy) <= lookup or len(heavy) <= broadcast)
+    marked = skew.marked(frame, F.col("k"), found)
+    assert sorted(map(tuple, marked.collect()), key=str) == sorted(((k, v, heavy.get(k)) for k, v in data), key=str)
+    blocks = skew.with_blocks(frame, F.col("k"), found)
+    assert Counter((r.k, r.v) for r in blocks.collect()) == Counter(data)
+    spread = blocks.groupBy("k").agg(F.countDistinct("_block").alias("n")).collect()
+    assert all((r.n > 1) == (r.k in heavy) for r in spread if r.k not in heavy or heavy[r.k] > 3)
+
+
+def test_no_heavy_key_needs_no_count(spark):
+    frame = spark.range(5000).select(F.col("id").alias("k"))
+    assert skew.oversized_keys(frame, F.col("k"), 10) is None
+    assert skew.heavy_candidates(frame, F.col("k"), 10) == []
+    assert skew.oversized_keys(frame.where("k < 0"), F.col("k"), 10) is None
+
+
+def test_candidates_are_few(spark):
+    frame = spark.createDataFrame(skewed(2), SCHEMA)
+    hashes = skew.heavy_candidates(frame, F.col("k"), 500)
+    exact = {r.h for r in frame.groupBy(F.xxhash64("k").alias("h")).count().where("count > 500").collect()}
+    nearly = {r.h for r in frame.groupBy(F.xxhash64("k").alias("h")).count().where("count > 250").collect()}
+    assert exact <= set(hashes) <= nearly
+
+
+def test_long_lookups_shuffle_by_key_and_salt(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_LOOKUP_KEYS", 1)
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", 1)
+    frame = spark.createDataFrame([(i % 3, 1) for i in range(3000)], SCHEMA).repartition(4)
+    found = skew.oversized_keys(frame, F.col("k"), 100)
+    assert not found.small
+    plan = skew.marked(frame, F.col("k"), found)._jdf.queryExecution().executedPlan().toString()
+    assert all("_salt" in line or "_copy" in line for line in plan.splitlines() if "hashpartitioning" in line)

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from loomtally.sources.articles import parse_articles, read_articles
 from loomtally.sources.postings import parse_postings, read_postings
-from loomtally.sources.survey import read_survey, survey_schema
+from loomtally.sources.survey import read_survey, read_surveys, survey_schema
 
 P, M, S = "<page> <title>", "</title><text>", "</text> </page> "
 
@@ -119,3 +119,49 @@ def test_malformed_survey_rows(spark, tmp_path, row):
 def test_survey_without_header(spark, tmp_path):
     with pytest.raises(ValueError):
         read_survey(spark, write(tmp_path, a=""))
+
+
+# --- surveys with differing headers --------------------------------------------------
+
+
+def write_surveys(folder, **files):
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def test_columns_stand_where_their_header_says(spark, tmp_path):
+    path = write_surveys(tmp_path / "s", a="id,x,y\nr1,1,2\nr2,3,4\n", b="y,id,more,x\n20,r3,text,10\n", c="id,x,y\nr4,5,6\n", d="")
+    got = read_surveys(spark, path)
+    assert got.columns == ["id", "x", "y"]
+    assert sorted(map(tuple, got.collect())) == [("r1", 1.0, 2.0), ("r2", 3.0, 4.0), ("r3", 10.0, 20.0), ("r4", 5.0, 6.0)]
+    assert sorted(map(tuple, read_surveys(spark, path, ["id", "y"]).collect())) == [("r1", 2.0), ("r2", 4.0), ("r3", 20.0), ("r4", 6.0)]
+    # One scan for each of the two headers, however many files have it.
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+
+
+def test_missing_and_repeated_columns(spark, tmp_path):
+    with pytest.raises(ValueError, match="b.csv must have the column y once"):
+        read_surveys(spark, write_surveys(tmp_path / "s", a="id,x,y\nr,1,2\n", b="id,x\nr,1\n"))
+    with pytest.raises(ValueError, match="must have the column x once"):
+        read_surveys(spark, write_surveys(tmp_path / "t", a="id,x,y,x\nr,1,2,3\n"), ["id", "x"])
+    with pytest.raises(ValueError, match="names a column twice"):
+        read_surveys(spark, write_surveys(tmp_path / "u", a="id,x,z,z\nr,1,2,3\n"), ["id", "x"])
+    with pytest.raises(ValueError, match="no header line"):
+        read_surveys(spark, write_surveys(tmp_path / "v", a=""))
+
+
+def test_malformed_rows_of_any_layout(spark, tmp_path):
+    path = write_surveys(tmp_path / "s", a="id,x,y\nr1,1,2\n", b="y,x,id\nbad,1,r2\n7,8,r3\n,9,r4\n")
+    with pytest.raises(Exception):
+        read_surveys(spark, path).collect()
+    assert sorted(r.id for r in read_surveys(spark, path, mode="drop").collect()) == ["r1", "r3"]
+
+
+def test_packed_files(spark, tmp_path):
+    import gzip
+
+    path = write_surveys(tmp_path / "s", a="id,x,y\nr1,1,2\n")
+    (tmp_path / "s" / "b.csv.gz").write_bytes(gzip.compress(b"y,id,x\n4,r2,3\n"))
+    assert sorted(map(tuple, read_surveys(spark, path).collect())) == [("r1", 1.0, 2.0), ("r2", 3.0, 4.0)]
