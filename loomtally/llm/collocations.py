@@ -20,6 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loomtally.llm.tables import durable
@@ -40,9 +41,18 @@ BREAK = b"\xff"  # no byte of UTF-8
 PIECE_ENDS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 
 
-def words_and_breaks(text: str | None) -> list[bytes]:
-    """Words with A-Z in lower case and a `BREAK` wherever a piece ends."""
-    lower = (text or "").encode("utf-8", "surrogatepass").lower().translate(PIECE_ENDS)
+class _Numbers(dict):
+    """Numbers of words in the order they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def words_and_breaks(texts: list) -> list[bytes]:
+    """Words with A-Z in lower case and a `BREAK` wherever a piece ends, as it does with a text."""
+    raw = BREAK.join([(text or "").encode("utf-8", "surrogatepass") for text in texts])
+    lower = raw.lower().translate(PIECE_ENDS)
     return [*lower.replace(BREAK, b" " + BREAK + b" ").split(), BREAK]
 
 
@@ -83,8 +93,8 @@ def _places(ids: np.ndarray, length: int) -> np.ndarray:
 
 def _stripes_of(lang: str, texts: list, length: int, shards: int, frequent, bits: int) -> dict:
     """Stripes of some texts: prefix, shard, offsets of stripes, next words and their counts."""
-    numbers = {BREAK: 0}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for t in texts for w in words_and_breaks(t)], np.int64)
+    numbers, found = _Numbers({BREAK: 0}), words_and_breaks(texts)
+    ids = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
     words = list(numbers)
     hashes = WordHasher()(words)
     there = _places(ids, length)
@@ -103,17 +113,31 @@ def _stripes_of(lang: str, texts: list, length: int, shards: int, frequent, bits
     order = np.lexsort((shard, keys // len(words)))
     owner, shard = (keys // len(words))[order], shard[order]
     first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (shard[1:] != shard[:-1]))[: len(owner)])
-    starts = at[where[order[first]]]
+    starts, known = at[where[order[first]]], pa.array(words, pa.binary())
+    parts = [known.take(pa.array(ids[starts + k])) for k in range(length - 1)]
     return {
-        "prefix": [b" ".join(words[i] for i in ids[p : p + length - 1]) for p in starts],
+        "prefix": pc.binary_join_element_wise(*parts, b" ") if parts else pa.array([b""] * len(starts), pa.binary()),
         "shard": shard[first],
         "offsets": np.append(first, len(order)),
-        "next": pa.array(words, pa.binary()).take(pa.array(following[order])),
+        "next": known.take(pa.array(following[order])),
         "n": counts[order],
     }
 
 
-STRIPE = "lang string, prefix string, shard long, next array<string>, n array<long>"
+# Next words of a stripe are joined by spaces, their counts are eight bytes each: lists of
+# strings would take several times the room in an exchange.
+STRIPE = "lang string, prefix string, shard long, next string, n binary"
+
+
+def _packed(counts: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary values of consecutive counts, eight bytes each."""
+    return pa.Array.from_buffers(
+        pa.binary(), len(offsets) - 1, [None, pa.py_buffer((8 * offsets).astype(np.int32)), pa.py_buffer(counts.astype("<i8"))]
+    )
+
+
+def _unpacked(values: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(values.to_pylist()), "<i8")
 
 
 def stripes(docs: DataFrame, length: int, frequent=None, bits: int = 0) -> DataFrame:
@@ -129,51 +153,82 @@ def stripes(docs: DataFrame, length: int, frequent=None, bits: int = 0) -> DataF
                 for lang in dict.fromkeys(here):
                     own = [t for t, k in zip(texts[part], here) if k == lang]
                     made = _stripes_of(lang, own, length, shards, bitmap, bits)
-                    offsets = pa.array(made["offsets"], pa.int32())
+                    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(made["offsets"], pa.int32()), made["next"]), b" ")
                     yield pa.RecordBatch.from_arrays([
                         pa.array([lang] * len(made["prefix"]), pa.string()),
-                        pa.array(made["prefix"], pa.binary()).cast(pa.string()),
+                        made["prefix"].cast(pa.string()),
                         pa.array(made["shard"], pa.int64()),
-                        pa.ListArray.from_arrays(offsets, made["next"].cast(pa.string())),
-                        pa.ListArray.from_arrays(offsets, pa.array(made["n"], pa.int64())),
+                        joined.cast(pa.string()),
+                        _packed(made["n"], made["offsets"]),
                     ], names=["lang", "prefix", "shard", "next", "n"])
 
     return docs.select("lang", "text").mapInArrow(build, STRIPE)
 
 
+class _Merge:
+    """Adds up the stripes of each key, which come in order; the last key waits for more."""
+
+    KEYS = ("lang", "prefix", "shard")
+
+    def __init__(self, least: int) -> None:
+        self.least, self.rest = least, None
+
+    def __call__(self, batch: pa.RecordBatch | None) -> pa.RecordBatch | None:
+        """Finished keys after another batch of stripes, or after the last one (None)."""
+        parts = [part for part in (self.rest, batch) if part is not None and part.num_rows]
+        if not parts:
+            return None
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        opens = np.zeros(rows.num_rows, bool)
+        opens[0] = True
+        for column in self.KEYS:
+            values = rows[column]
+            opens[1:] |= pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False)
+        start = np.flatnonzero(opens)
+        words = pc.split_pattern(rows["next"], " ")
+        owner = np.repeat(np.cumsum(opens) - 1, pc.list_value_length(words).to_numpy())
+        flat = pa.table({"g": owner, "next": words.flatten(), "n": _unpacked(rows["n"])})
+        summed = flat.group_by(["g", "next"], use_threads=False).aggregate([("n", "sum")])
+        summed = summed.take(pc.sort_indices(summed["g"])).combine_chunks()
+        g, n = summed["g"].to_numpy(), summed["n_sum"].to_numpy()
+        word, done = summed["next"].combine_chunks(), len(start) if batch is None else len(start) - 1
+        cut = int(np.searchsorted(g, done))
+        if batch is None:
+            self.rest = None
+        else:
+            own, ends = rows.slice(int(start[-1]), 1), np.array([0, len(g) - cut])
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), word[cut:]), " ")
+            self.rest = pa.RecordBatch.from_arrays(
+                [*(own[c] for c in self.KEYS), joined, _packed(n[cut:], ends)], names=[*self.KEYS, "next", "n"]
+            )
+        total = np.bincount(g[:cut], n[:cut].astype(float), done) if done else np.zeros(0)
+        often = np.flatnonzero(n[:cut] >= self.least)
+        counts = np.bincount(g[often], minlength=done)
+        prefix = rows["prefix"].take(pa.array(start[:done]))
+        wanted = np.flatnonzero((counts > 0) | pc.equal(prefix, "").to_numpy(zero_copy_only=False)) if done else np.zeros(0, np.int64)
+        if not len(wanted):
+            return None
+        offsets = pa.array(np.append(0, np.cumsum(counts[wanted])), pa.int32())
+        return pa.RecordBatch.from_arrays([
+            rows["lang"].take(pa.array(start[wanted])), prefix.take(pa.array(wanted)), pa.array(total[wanted].astype(np.int64)),
+            pa.ListArray.from_arrays(offsets, word.take(pa.array(often))), pa.ListArray.from_arrays(offsets, pa.array(n[often])),
+        ], names=["lang", "prefix", "total", "next", "n"])
+
+
 def merged(parts: DataFrame, least: int) -> DataFrame:
     """One row per prefix and shard: `total` of its counts, and the next words counted `least` times."""
 
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()),
-                            ("next", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
     def merge(batches):
-        key, counter, done = None, {}, []
-
-        def close() -> None:
-            often = [(w, n) for w, n in counter.items() if n >= least]
-            if key is not None and (often or not key[1]):
-                done.append((key[0], key[1], sum(counter.values()), [w for w, _ in often], [n for _, n in often]))
-
+        step = _Merge(least)
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("lang", "prefix", "shard", "next", "n")]
-            for lang, prefix, shard, following, counts in zip(*columns):
-                if key != (lang, prefix, shard):
-                    close()
-                    key, counter = (lang, prefix, shard), {}
-                for word, n in zip(following, counts):
-                    counter[word] = counter.get(word, 0) + n
-            if done:
-                yield packed(done)
-                done.clear()
-        close()
-        if done:
-            yield packed(done)
-
-    keys = ("lang", "prefix", "shard")
-    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+            out = step(batch)
+            if out is not None:
+                yield out
+        out = step(None)
+        if out is not None:
+            yield out
+
+    return parts.repartition(*_Merge.KEYS).sortWithinPartitions(*_Merge.KEYS).mapInArrow(
         merge, "lang string, prefix string, total long, next array<string>, n array<long>"
     )
 
