@@ -56,6 +56,7 @@ MAPPINGS = (
     Mapping("instruction", ("instruction", "output"), _PAIR.format("instruction", "output")),
     Mapping("instruction with input", ("instruction", "input", "output"), _PAIR.format(_ASKED, "output")),
 )
+BY_SIZE = sorted(MAPPINGS, key=lambda m: -len(m.paths))
 KNOWN = {path for m in MAPPINGS for path in m.paths}
 RECORD = (
     "messages array<struct<role string, content string>>, conversations array<struct<`from` string, value string>>,"
@@ -74,10 +75,13 @@ def schema_paths(kind: T.DataType, before: str = "") -> set[str]:
 
 
 def mapping_of(schema: T.StructType) -> Mapping:
-    """The mapping for a table's schema; an unknown layout is an error."""
-    print_ = fingerprint(schema_paths(schema) & KNOWN)
-    for mapping in MAPPINGS:
-        if mapping.fingerprint == print_:
+    """The mapping for a table's schema; an unknown layout is an error.
+
+    Of mappings whose fields are all there the one with most fields counts, then the first.
+    """
+    found = schema_paths(schema)
+    for mapping in BY_SIZE:
+        if fingerprint(found & set(mapping.paths)) == mapping.fingerprint:
             return mapping
     raise ValueError(f"no mapping for the fields {sorted(schema_paths(schema))}")
 
@@ -106,32 +110,38 @@ def _filled(rows: DataFrame) -> DataFrame:
 def turns_of_records(records: DataFrame, conv_id: str, payload: str) -> DataFrame:
     """Canonical turns of JSON records, each in a layout of its own.
 
-    Every record's fingerprint selects its mapping. `unknown_records` has what no mapping
-    fits. A field that is null counts as absent, an array by its first item.
+    Every record's fingerprint, taken of a mapping's fields, selects that mapping; with several
+    the one with most fields, then the first. `unknown_records` has what no mapping fits. A
+    field that is null counts as absent, one in an array if it is null in every item.
     """
     read = _fingerprinted(records, conv_id, payload)
-    turns = None
-    for mapping in (m for m in MAPPINGS if m.turns):
-        here = F.when(F.col("print") == mapping.fingerprint, F.expr(mapping.turns))
-        turns = here if turns is None else F.coalesce(turns, here)
+    turns = F.coalesce(*[F.when(F.col("print")[m.name] == m.fingerprint, F.expr(m.turns)) for m in BY_SIZE if m.turns])
     return _filled(_exploded(read.select("conv_id", turns.alias("turns")).where("turns IS NOT NULL")))
 
 
 def unknown_records(records: DataFrame, conv_id: str, payload: str) -> DataFrame:
     """`conv_id` and fingerprint `print` of records that fit no mapping; malformed ones too."""
-    known = [m.fingerprint for m in MAPPINGS if m.turns]
-    return _fingerprinted(records, conv_id, payload).where(~F.col("print").isin(known)).select("conv_id", "print")
+    read = _fingerprinted(records, conv_id, payload)
+    fits = F.array(*[F.col("print")[m.name] == m.fingerprint for m in BY_SIZE if m.turns])
+    return read.where(~F.array_contains(fits, True)).select("conv_id", F.col("print")["all"].alias("print"))
 
 
 def _fingerprinted(records: DataFrame, conv_id: str, payload: str) -> DataFrame:
     read = records.select(
         F.col(conv_id).alias("conv_id"), F.from_json(payload, RECORD).alias("r")
     ).select("conv_id", "r.*")
-    paths = sorted(p for p in KNOWN if any(p in m.paths for m in MAPPINGS if m.turns))
-    present = F.array_compact(
-        F.array(*[F.when(F.expr(p.replace("[].", "[0].")).isNotNull(), F.lit(p)) for p in paths])
-    )
-    return read.withColumn("print", F.sha2(F.array_join(present, "\n").cast("binary"), 256))
+
+    def there(path: str) -> Column:
+        array, items, field = path.partition("[].")
+        return F.exists(array, lambda item: item[field].isNotNull()) if items else F.col(path).isNotNull()
+
+    def print_of(paths) -> Column:
+        present = F.array_compact(F.array(*[F.when(there(p), F.lit(p)) for p in sorted(paths)]))
+        return F.sha2(F.array_join(present, "\n").cast("binary"), 256)
+
+    nested = [m for m in BY_SIZE if m.turns]
+    every = print_of({p for m in nested for p in m.paths}).alias("all")
+    return read.withColumn("print", F.struct(every, *[print_of(m.paths).alias(m.name) for m in nested]))
 
 
 def escaped(text: Column) -> Column:

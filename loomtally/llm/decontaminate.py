@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Row, functions as F
 
-from loomtally.llm.tables import rows_key
+from loomtally.llm.tables import fresh, rows_key
 
 ERROR_PERCENT = 5
 # Characters of items in one block; the automaton of a block takes some 100 bytes for each.
@@ -179,6 +179,6 @@ def report(docs: DataFrame, benchmark: DataFrame, error_percent: int = ERROR_PER
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, error_percent: int = ERROR_PERCENT) -> DataFrame:
     """Rows of `docs`, with all their columns, in which no item is met."""
-    name = "_llm_node"
+    name = fresh(docs, "_llm_node")
     gone = contaminated(docs, benchmark, error_percent).select(F.col("node").alias(name)).distinct()
     return docs.withColumn(name, rows_key(docs)).join(gone, name, "left_anti").select(*docs.columns)

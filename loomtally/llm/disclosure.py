@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loomtally.llm.tables import SLOTS, bitmap, durable, rows_key
+from loomtally.llm.tables import SLOTS, bitmap, durable, fresh, rows_key
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -249,8 +249,9 @@ def sanitised(docs: DataFrame, spans: DataFrame, remove_at: float = REMOVE_AT) -
     Of overlapping base spans the earlier (then longer) one is replaced; the rest of the
     others goes with it.
     """
-    at = spans.select(F.col("node").alias("_llm_node"), F.col("doc_id").alias("_llm_id"), "base", "terms").dropDuplicates(["_llm_node", "_llm_id"])
-    at = at.select("_llm_node", "_llm_id", F.struct("base", "terms").alias("_llm_spans"))
+    key, node, id_, found_at = (fresh(docs, name) for name in ("_llm_key", "_llm_node", "_llm_id", "_llm_spans"))
+    at = spans.select(F.col("node").alias(node), F.col("doc_id").alias(id_), "base", "terms").dropDuplicates([node, id_])
+    at = at.select(node, id_, F.struct("base", "terms").alias(found_at))
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series, found: pd.DataFrame) -> pd.Series:
@@ -269,7 +270,7 @@ def sanitised(docs: DataFrame, spans: DataFrame, remove_at: float = REMOVE_AT) -
             out.append("".join(pieces) + text[done:])
         return pd.Series(out, dtype=object)
 
-    keyed = docs.withColumn("_llm_key", rows_key(docs)).join(
-        at, (F.col("_llm_key") == F.col("_llm_node")) & F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left"
+    keyed = docs.withColumn(key, rows_key(docs)).join(
+        at, (F.col(key) == F.col(node)) & F.col("doc_id").eqNullSafe(F.col(id_)), "left"
     )
-    return keyed.select(*[cleaned("text", "_llm_spans").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    return keyed.select(*[cleaned("text", found_at).alias("text") if c == "text" else F.col(c) for c in docs.columns])

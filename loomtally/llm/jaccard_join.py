@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from loomtally.llm.graph import components, grouped_links
-from loomtally.llm.tables import durable, may_hold, rows_key
+from loomtally.llm.tables import durable, fresh, may_hold, rows_key
 from loomtally.llm.words import WordHasher, positional_shingles, slices, words_of
 
 SHINGLE_WORDS = 3
@@ -210,6 +210,6 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int =
 
 
 def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    name = "_llm_row"
+    name = fresh(docs, "_llm_row")
     gone = rows.select(F.col("row").alias(name))
     return docs.withColumn(name, rows_key(docs)).join(gone, name, "left_anti").select(*docs.columns)

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loomtally.llm.tables import fresh
 from loomtally.llm.words import slices
 
 ORDER = 3
@@ -220,7 +221,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
     """Rows of `docs`, with all their columns, whose language is decided with `min_score`."""
-    name = "_llm_language"
+    name = fresh(docs, "_llm_language")
     judged = docs.withColumn(name, prediction(docs, model))
     kept = judged.where((F.col(f"{name}.lang_pred") != UNDECIDED) & (F.col(f"{name}.score") >= min_score))
     return kept.select(*docs.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loomtally.llm.tables import durable, rows_key
+from loomtally.llm.tables import durable, fresh, rows_key
 
 MIN_RUN = 3
 # Ranges that ranks are dealt out in; their sizes are broadcast.
@@ -122,17 +122,16 @@ def _cleaned(text: Column, runs: Column) -> Column:
     return F.struct(F.array_join(kept, "\n").alias("text"), (F.size(lines) - F.size(kept)).alias("n_deleted"))
 
 
-def _joined(docs: DataFrame, min_run: int) -> DataFrame:
-    runs = repeated_runs(docs.select("doc_id", "text"), min_run).select(
-        F.col("node").alias("_llm_node"), F.col("doc_id").alias("_llm_id"), F.col("runs").alias("_llm_runs")
+def _joined(docs: DataFrame, min_run: int) -> tuple[DataFrame, str]:
+    """`docs` and the name of the column with their cleaned texts, NULL where nothing goes."""
+    key, node, id_, runs, cleaned = (fresh(docs, f"_llm_{name}") for name in ("key", "node", "id", "runs", "cleaned"))
+    found = repeated_runs(docs.select("doc_id", "text"), min_run).select(
+        F.col("node").alias(node), F.col("doc_id").alias(id_), F.col("runs").alias(runs)
     )
-    keyed = docs.withColumn("_llm_key", rows_key(docs))
-    joined = keyed.join(
-        runs, (F.col("_llm_key") == F.col("_llm_node")) & F.col("doc_id").eqNullSafe(F.col("_llm_id")), "left"
-    )
-    return joined.withColumn(
-        "_llm_cleaned", F.when(F.col("_llm_runs").isNotNull(), _cleaned(F.col("text"), F.col("_llm_runs")))
+    joined = docs.withColumn(key, rows_key(docs)).join(
+        found, (F.col(key) == F.col(node)) & F.col("doc_id").eqNullSafe(F.col(id_)), "left"
     )
+    return joined.withColumn(cleaned, F.when(F.col(runs).isNotNull(), _cleaned(F.col("text"), F.col(runs)))), cleaned
 
 
 def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
@@ -145,9 +144,10 @@ def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     agree in id and text are one document and get the same result. Other columns of `docs`
     are left out.
     """
-    return _joined(docs.select("doc_id", "text"), min_run).select(
-        "doc_id", F.coalesce("_llm_cleaned.text", "text").alias("text"),
-        F.coalesce("_llm_cleaned.n_deleted", F.lit(0)).alias("n_deleted"),
+    joined, cleaned = _joined(docs.select("doc_id", "text"), min_run)
+    return joined.select(
+        "doc_id", F.coalesce(f"{cleaned}.text", "text").alias("text"),
+        F.coalesce(f"{cleaned}.n_deleted", F.lit(0)).alias("n_deleted"),
     )
 
 
@@ -156,9 +156,9 @@ def keep_first_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
     A document of which no line with content is left goes; one that had none before stays.
     """
-    joined = _joined(docs, min_run)
-    changed = F.col("_llm_cleaned").isNotNull()
-    kept = joined.where(~changed | F.col("_llm_cleaned.text").rlike(r"\S"))
-    text = F.coalesce("_llm_cleaned.text", "text")
+    joined, cleaned = _joined(docs, min_run)
+    changed = F.col(cleaned).isNotNull()
+    kept = joined.where(~changed | F.col(f"{cleaned}.text").rlike(r"\S"))
+    text = F.coalesce(f"{cleaned}.text", "text")
     new = {"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
     return kept.select(*[new[c].alias(c) if new.get(c) is not None else F.col(c) for c in docs.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loomtally.operators.durable import durable
 
-__all__ = ["SLOTS", "bitmap", "durable", "may_hold", "rows_key", "table"]
+__all__ = ["SLOTS", "bitmap", "durable", "fresh", "may_hold", "rows_key", "table"]
 
 # Bits of a bitmap that travels to the tasks; fixed, however many keys there are.
 SLOTS = 1 << 20
@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """The name, made longer until no column of `docs` has it, in whatever case."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def rows_key(docs: DataFrame) -> Column:
     """A number for (doc_id, text): equal ids with different texts stay apart."""
     return F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text"))

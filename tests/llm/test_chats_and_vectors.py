@@ -1,5 +1,8 @@
 """Chat formatting and vector search."""
 
+import hashlib
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +48,44 @@ def test_records(rows):
     assert {r.conv_id for r in chat_format.unknown_records(records, "id", "payload").collect()} == {3, 4}
 
 
+def test_layout_with_most_fields_counts(spark):
+    pick = lambda sql: chat_format.mapping_of(spark.sql(sql).schema).name
+    assert pick("SELECT 'i' AS instruction, 'q' AS input, 'a' AS output, 'x' AS role, 'y' AS text, 1 AS conv_id") == "instruction with input"
+    assert pick("SELECT 'q' AS prompt, 'a' AS response, 'b' AS completion") == "prompt and response"
+    assert pick("SELECT 1 AS conv_id, 1 AS turn, 'r' AS role, 't' AS text, 'q' AS prompt, 'a' AS response") == "turn rows"
+
+
+def test_mixed_records_through_the_whole_operator(rows):
+    """Records of every layout, with nulls and odd ones, against plain Python."""
+    long = "word <|im_end|> " * 20_000
+    records = [
+        (1, {"prompt": "q", "response": long, "role": "x", "text": "y", "conv_id": 4}),
+        (2, {"prompt": "q", "completion": ""}),
+        (3, {"instruction": "i", "input": "", "output": "o"}),
+        (4, {"instruction": "i", "input": "more", "output": "o"}),
+        (5, {"messages": [{"role": "system", "content": None}, {"role": "user", "content": "hi"}, {"role": "assistant", "content": "<|im_start|>"}]}),
+        (6, {"conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": "g"}, {"from": "tool", "value": None}], "prompt": None}),
+        (7, {"messages": []}),
+        (8, {"messages": [{"role": None, "content": "t"}]}),
+        (None, {"instruction": "only", "output": "this", "prompt": "p"}),
+    ]
+    plain = {
+        1: [("user", "q"), ("assistant", long)], 2: [("user", "q"), ("assistant", "")], 3: [("user", "i"), ("assistant", "o")],
+        4: [("user", "i\nmore"), ("assistant", "o")], 5: [("system", ""), ("user", "hi"), ("assistant", "<|im_start|>")],
+        6: [("user", "h"), ("assistant", "g"), ("tool", "")], None: [("user", "only"), ("assistant", "this")],
+    }
+    frame = rows([(i, json.dumps(r)) for i, r in records] + [(9, None), (10, "{")], "key long, payload string")
+    turns = chat_format.turns_of_records(frame, "key", "payload")
+    got = {r.conv_id: r for r in chat_format.digests(chat_format.formatted(turns)).collect()}
+    assert got.keys() == plain.keys()
+    for key, said in plain.items():
+        learned = "".join(t for role, t in said if role == "assistant")
+        assert got[key].n_turns == len(said) and got[key].loss_chars == len(learned)
+        assert got[key].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+        assert got[key].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+    assert {r.conv_id for r in chat_format.unknown_records(frame, "key", "payload").collect()} == {7, 8, 9, 10}
+
+
 def test_chat_format_is_native(spark):
     plan = QUERIES["op8_chat_format"](spark, SMALL)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan

@@ -70,3 +70,23 @@ def test_unusual_tables(spark, name):
     assert expected is None or len(got) == expected
     nothing = apply(spark.createDataFrame([], COLUMNS)).collect()
     assert nothing == []
+
+
+@pytest.mark.parametrize("name", ["first lines", "clean", "one of each", "languages", "personal"])
+def test_clashing_columns_keep_their_values(spark, name):
+    items = spark.createDataFrame([(1, "a benchmark question about the sea")], "item_id long, text string")
+    keep = {
+        "first lines": line_dedup.keep_first_lines,
+        "clean": lambda d: decontaminate.keep_uncontaminated(d, items),
+        "one of each": jaccard_join.keep_one_of_each,
+        "languages": lambda d: language_id.keep_identified(d, language_id.train(d)),
+        "personal": lambda d: disclosure.sanitised(d, disclosure.find_spans(d)),
+    }[name]
+    extra = ["_llm_node", "_LLM_ROW", "_llm_language", "_llm_key", "_llm_id", "_llm_runs", "_llm_cleaned", "_llm_spans", "_llm_key_"]
+    texts = ["one\ntwo\nthree\nof mine", "one\ntwo\nthree\nof yours", "a benchmark question about the sea", "mail me at a.b@c.de", "two words"]
+    data = [(i, t, "en", *[f"{i}-{c}" for c in extra]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, " + ", ".join(f"{c} string" for c in extra)).repartition(3)
+    kept = keep(docs)
+    assert kept.columns == docs.columns
+    kept = kept.collect()
+    assert len(kept) >= 4 and all(r[c] == f"{r.doc_id}-{c}" for r in kept for c in extra)
