@@ -10,9 +10,10 @@ largest element tells how often the commonest longer phrase occurs, which may su
 Prefixes of 0, 1, 2, ... words are counted one after the other. A phrase is only counted where
 the two phrases one word shorter that it holds are frequent, since it can't be more frequent
 than they are. They are looked up in a bitmap, which may let others through but holds back none;
-its size follows their number up to `MAX_BITS`, beyond which it saves less and is as right. Rows
-that a prefix has are then one per shard and run of texts, however common it is. A stripe is cut
-into shards by its next word; the empty prefix, which has the whole vocabulary, into more.
+its size follows their number up to `MAX_BITS`, beyond which it saves less and is as right. A
+prefix has one row per shard and run of texts, however common it is. The stripe of a prefix that
+occurs `SPLIT_FROM` times, which a second bitmap tells, is cut into shards by the next word, as is
+the empty prefix's, which holds the whole vocabulary.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ LEAST = 100
 LONGEST = 5
 PERCENT = 100
 TOP = 2_000
-SHARDS, VOCABULARY_SHARDS = 8, 1_024
+SPLIT_FROM, SHARDS, VOCABULARY_SHARDS = 100_000, 64, 1_024
 BITS_PER_PHRASE, MIN_BITS, MAX_BITS = 16, 1 << 16, 1 << 26
 # Characters whose words are counted at once.
 CHARS = 4_000_000
@@ -60,8 +61,8 @@ def _slots(hashes: np.ndarray, lang: np.uint64, bits: int) -> np.ndarray:
     return (hashes ^ lang) % np.uint64(bits)
 
 
-def _bitmap(found: DataFrame, words: int) -> tuple[np.ndarray, int]:
-    """Bits of the phrases of that many words; at most `MAX_BITS` reach the driver."""
+def _bitmaps(found: DataFrame, words: int) -> tuple[np.ndarray, int]:
+    """Bits of the phrases of that many words, then of the common ones; at most `MAX_BITS` each."""
     bits = MIN_BITS
     wanted = min(MAX_BITS, BITS_PER_PHRASE * found.count())
     while bits < wanted:
@@ -76,12 +77,14 @@ def _bitmap(found: DataFrame, words: int) -> tuple[np.ndarray, int]:
         own = hasher([s.encode("utf-8", "surrogatepass") for s in langs])
         return pd.Series(_slots(positional_shingles(hasher(flat), words)[::words], own, bits).astype(np.int64))
 
-    numbered = found.select(slot("lang", "phrase").alias("slot"))
-    longs = numbered.groupBy(F.expr("slot div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("v"))
+    numbered = found.select(slot("lang", "phrase").alias("slot"), "f")
+    bit = F.expr("shiftleft(1L, cast(slot % 64 as int))")
+    common = F.when(F.col("f") >= SPLIT_FROM, bit).otherwise(F.lit(0).cast("bigint"))
+    longs = numbered.groupBy(F.expr("slot div 64").alias("at")).agg(F.bit_or(bit).alias("v"), F.bit_or(common).alias("c"))
     table = longs.toPandas()
-    bitmap = np.zeros(bits // 64, np.int64)
-    bitmap[table["at"].to_numpy(np.int64)] = table["v"].to_numpy(np.int64)
-    return bitmap.view(np.uint64), bits
+    bitmaps = np.zeros((2, bits // 64), np.int64)
+    bitmaps[:, table["at"].to_numpy(np.int64)] = table[["v", "c"]].to_numpy(np.int64).T
+    return bitmaps.view(np.uint64), bits
 
 
 def _places(ids: np.ndarray, length: int) -> np.ndarray:
@@ -91,7 +94,11 @@ def _places(ids: np.ndarray, length: int) -> np.ndarray:
     return left >= length
 
 
-def _stripes_of(lang: str, texts: list, length: int, shards: int, frequent, bits: int) -> dict:
+def _held(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _stripes_of(lang: str, texts: list, length: int, bitmaps, bits: int) -> dict:
     """Stripes of some texts: prefix, shard, offsets of stripes, next words and their counts."""
     numbers, found = _Numbers({BREAK: 0}), words_and_breaks(texts)
     ids = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
@@ -101,7 +108,7 @@ def _stripes_of(lang: str, texts: list, length: int, shards: int, frequent, bits
     if length > 1:
         own = WordHasher()([lang.encode("utf-8", "surrogatepass")])
         slot = _slots(positional_shingles(hashes[ids], length - 1), own, bits)
-        known = (frequent[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+        known = _held(bitmaps[0], slot)
         there = there[: len(known) - 1] & known[:-1] & known[1:]
     at = np.flatnonzero(there)
     name = np.zeros(len(at), np.int64)
@@ -109,7 +116,11 @@ def _stripes_of(lang: str, texts: list, length: int, shards: int, frequent, bits
         name = np.unique(name * len(words) + ids[at + k], return_inverse=True)[1].reshape(-1)
     keys, where, counts = np.unique(name * len(words) + ids[at + length - 1], return_index=True, return_counts=True)
     following = keys % len(words)
-    shard = (hashes[following] % np.uint64(shards)).astype(np.int64)
+    if length == 1:
+        shards = np.uint64(VOCABULARY_SHARDS)
+    else:
+        shards = np.where(_held(bitmaps[1], slot[at[where]]), SHARDS, 1).astype(np.uint64)
+    shard = (hashes[following] % shards).astype(np.int64)
     order = np.lexsort((shard, keys // len(words)))
     owner, shard = (keys // len(words))[order], shard[order]
     first = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (shard[1:] != shard[:-1]))[: len(owner)])
@@ -142,17 +153,15 @@ def _unpacked(values: pa.Array) -> np.ndarray:
 
 def stripes(docs: DataFrame, length: int, frequent=None, bits: int = 0) -> DataFrame:
     """Stripes of prefixes of `length - 1` words, several rows for a prefix; `docs` has `lang`, `text`."""
-    shards = SHARDS if length > 1 else VOCABULARY_SHARDS
-
     def build(batches):
-        bitmap = None if frequent is None else np.frombuffer(frequent.value, np.uint64)
+        bitmaps = None if frequent is None else np.frombuffer(frequent.value, np.uint64).reshape(2, -1)
         for batch in batches:
             langs, texts = batch["lang"].to_pylist(), batch["text"].to_pylist()
             for part in slices(texts, CHARS):
                 here = langs[part]
                 for lang in dict.fromkeys(here):
                     own = [t for t, k in zip(texts[part], here) if k == lang]
-                    made = _stripes_of(lang, own, length, shards, bitmap, bits)
+                    made = _stripes_of(lang, own, length, bitmaps, bits)
                     joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(made["offsets"], pa.int32()), made["next"]), b" ")
                     yield pa.RecordBatch.from_arrays([
                         pa.array([lang] * len(made["prefix"]), pa.string()),
@@ -247,8 +256,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
         levels.append(level)
         if length == longest or level.where(F.size("next") > 0).isEmpty():
             break
-        bitmap, bits = _bitmap(phrases(level), length)
-        frequent = docs.sparkSession.sparkContext.broadcast(bitmap.tobytes())
+        bitmaps, bits = _bitmaps(phrases(level), length)
+        frequent = docs.sparkSession.sparkContext.broadcast(bitmaps.tobytes())
     totals = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
     whole = levels[0]
     for level in levels[1:]:

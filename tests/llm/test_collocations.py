@@ -60,6 +60,7 @@ def made(seed: int) -> list[tuple]:
 @pytest.mark.parametrize("least, longest, percent, top", [(4, 5, 100, 2000), (2, 3, 60, 7), (1, 2, 100, 2000), (3, 6, 100, 5)])
 def test_phrases(rows, least, longest, percent, top, monkeypatch):
     monkeypatch.setattr(collocations, "CHARS", 500)
+    monkeypatch.setattr(collocations, "SPLIT_FROM", 20)
     docs = made(least)
     got = collocations.collocations(rows(docs, "lang string, text string"), least, longest, percent, top)
     order = lambda r: (r[0], r[1])
