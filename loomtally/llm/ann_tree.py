@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loomtally.llm.tables import durable
+from loomtally.llm.tables import durable, shipped
 
 K = 20
 # Bounds: floats in the fitting sample, calibration queries, entries and queries per group.
@@ -229,7 +229,7 @@ def search(vectors: DataFrame, queries: Column, k: int = K, target: float = TARG
     if len(sample) == 0:
         sample = _matrix(distinct.limit(1).toPandas()["v"])
     fitted = fit(sample, max(1, min(MAX_LEAVES, len(sample) // 16, total // LEAF_ENTRIES)))
-    tree = spark.sparkContext.broadcast(fitted)
+    tree = shipped(spark, fitted)
     indexed = durable(distinct.withColumn("leaf", _leaves(tree, F.col("v"))))
     n_leaves = len(fitted.shard)
     visits = calibrated_visits(tree, n_leaves, indexed, asked, rows, k, target)

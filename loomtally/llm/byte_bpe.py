@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from loomtally.llm.tables import shipped
 from loomtally.llm.words import slices
 
 CHUNK = 65_536
@@ -81,7 +82,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
     if not 0 < overlap < chunk:
         raise ValueError("overlap must be positive and smaller than chunk")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = shipped(docs.sparkSession, vocabulary)
 
     def ids_of(batches):
         encoding = shared.value.encoding
@@ -146,7 +147,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk: int = CHUNK, overlap:
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """`doc_id`, `ids`, `bytes`: an unknown id is an error, NULL ids are not allowed."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = shipped(encoded.sparkSession, vocabulary)
 
     def join(batches):
         of = shared.value.id_bytes

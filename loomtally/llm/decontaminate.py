@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Row, functions as F
 
-from loomtally.llm.tables import fresh, rows_key
+from loomtally.llm.tables import fresh, rows_key, shipped
 
 ERROR_PERCENT = 5
 # Characters of items in one block; the automaton of a block takes some 100 bytes for each.
@@ -161,7 +161,7 @@ def contaminated(
     texts = docs.select(rows_key(docs).alias("node"), "doc_id", "text")
     found = None
     for matcher in _blocks(benchmark, error_percent, block_chars):
-        matched = _matching(docs.sparkSession.sparkContext.broadcast(matcher))
+        matched = _matching(shipped(docs.sparkSession, matcher))
         part = texts.select("node", "doc_id", F.explode(matched("text")).alias("m")).select("node", "doc_id", "m.*")
         found = part if found is None else found.unionByName(part)
     if found is None:

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from loomtally.llm.tables import fresh
+from loomtally.llm.tables import fresh, shipped
 from loomtally.llm.words import slices
 
 ORDER = 3
@@ -196,7 +196,7 @@ def train(
 
 def prediction(docs: DataFrame, model: Model) -> Column:
     """Struct column `lang_pred`, `score`, `bits_per_byte` of the column `text`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
 
     @F.pandas_udf("struct<lang_pred string, score double, bits_per_byte double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -20,6 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from loomtally.llm.tables import durable, shipped
 from loomtally.llm.words import WordHasher, mixed, slices
 
 # Short standard notices by which the families are known.
@@ -226,7 +227,7 @@ def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
     predicted family is there. NULL and empty texts have none; repeated rows give repeated
     rows; equally likely families go by name. Other columns are not looked at.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)
+    shared = shipped(docs.sparkSession, classifier)
 
     def search(batches):
         hasher = WordHasher()
@@ -246,11 +247,13 @@ def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
 def licences(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """`doc_id`, `family`, number of windows, best probability and similarity per document.
 
-    An `unknown` window counts only for documents without a confirmed family.
+    An `unknown` window counts only for documents without a confirmed family; rows without id
+    are one document. The texts are read once, and what is found in them is stored.
     """
-    found = scan(docs, classifier).groupBy("doc_id", "family").agg(
+    found = durable(scan(docs, classifier).groupBy("doc_id", "family").agg(
         F.count("*").alias("n_windows"), F.max("probability").alias("probability"), F.max("similarity").alias("similarity")
-    )
+    ))
     confirmed = found.where(F.col("family") != UNKNOWN)
-    rest = found.where(F.col("family") == UNKNOWN).join(confirmed.select("doc_id").distinct(), "doc_id", "left_anti")
+    known = confirmed.select(F.col("doc_id").alias("known_id")).distinct()
+    rest = found.where(F.col("family") == UNKNOWN).join(known, F.col("doc_id").eqNullSafe(F.col("known_id")), "left_anti")
     return confirmed.unionByName(rest)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pickle
+from typing import Any
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loomtally.operators.durable import durable
 
-__all__ = ["SLOTS", "bitmap", "durable", "fresh", "may_hold", "rows_key", "table"]
+__all__ = ["SLOTS", "bitmap", "durable", "fresh", "may_hold", "rows_key", "shipped", "table"]
 
 # Bits of a bitmap that travels to the tasks; fixed, however many keys there are.
 SLOTS = 1 << 20
@@ -18,6 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+class Shipped:
+    """A broadcast of an object together with its class; loaded once per Python worker."""
+
+    def __init__(self, sent) -> None:
+        self.sent = sent
+
+    @property
+    def value(self) -> Any:
+        # A worker has one broadcast object for all tasks that use it.
+        if not hasattr(self.sent, "_loaded"):
+            self.sent._loaded = pickle.loads(self.sent.value)
+        return self.sent._loaded
+
+
+def shipped(spark: SparkSession, value: Any) -> Shipped:
+    return Shipped(spark.sparkContext.broadcast(cloudpickle.dumps(value)))
+
+
 def fresh(docs: DataFrame, name: str) -> str:
     """The name, made longer until no column of `docs` has it, in whatever case."""
     taken = {column.lower() for column in docs.columns}

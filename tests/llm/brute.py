@@ -100,3 +100,47 @@ def runs(words: list, least: int = 24, exponent: int = 3) -> list[tuple[int, int
                 periods.setdefault((start, at + p), p)
             at = max(at, start + 1)
     return sorted((s, e - s, p) for (s, e), p in periods.items())
+
+
+def encoded(text: str, ranks: dict[bytes, int], pattern: str) -> list[int]:
+    """Byte pair merges by rank, the lowest first, then the leftmost, in each match of the pattern."""
+    import regex
+
+    ids = []
+    for match in regex.findall(pattern, text):
+        parts = [bytes([b]) for b in match.encode()]
+        while len(parts) > 1:
+            known = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+            if not known:
+                break
+            at = min(known)[1]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        ids += [ranks[p] for p in parts]
+    return ids
+
+
+def code_length(text: bytes, training: list[bytes], order: int) -> float:
+    """Bits of a text by prediction by partial matching (method C), counted in the training texts."""
+    from math import log2
+
+    counts: dict[bytes, dict[int, int]] = {}
+    for sample in training:
+        padded = bytes(order) + sample
+        for at in range(order, len(padded)):
+            for o in range(order + 1):
+                after = counts.setdefault(padded[at - o : at], {})
+                after[padded[at]] = after.get(padded[at], 0) + 1
+    bits, padded = 0.0, bytes(order) + text
+    for at in range(order, len(padded)):
+        for o in range(order, -1, -1):
+            after = counts.get(padded[at - o : at])
+            if after is None:
+                continue
+            whole = sum(after.values()) + len(after)
+            if padded[at] in after:
+                bits += log2(whole / after[padded[at]])
+                break
+            bits += log2(whole / len(after))
+        else:
+            bits += 8
+    return bits

@@ -42,6 +42,24 @@ def test_ids_are_those_of_the_whole_text(rows):
         assert all(bytes(r.bytes).decode() == (texts[r.doc_id] or "") for r in got)
 
 
+def test_ids_by_plain_merges(rows):
+    import public_tokenizers as P
+
+    known = vocabulary()
+    rng = random.Random(6)
+    parts = ["the", " quick", "  ", "é", "漢", "🙂", "x1", "\n", "'ll", "ing", "Qz", "ÿ"]
+    docs = [(i, "".join(rng.choices(parts, k=60))) for i in range(12)] + [(20, "z" * 300)]
+    got = {r.doc_id: list(r.ids) for r in byte_bpe.encode(rows(docs, SCHEMA), known, 50, 20).collect()}
+    assert got == {i: brute.encoded(t, known.ranks(), P.PATTERN) for i, t in docs}
+
+
+def test_one_long_text(rows):
+    own = encoding()
+    text = "A long text, of 3 million letters. " * 90_000
+    [got] = byte_bpe.encode(rows([(1, text)], SCHEMA), vocabulary()).collect()
+    assert list(got.ids) == own.encode_ordinary(text)
+
+
 def test_token_digests(spark):
     own = encoding()
     got = {r.doc_id: r for r in QUERIES["op4_byte_bpe"](spark, SMALL).collect()}
@@ -88,6 +106,26 @@ def test_languages_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_code_lengths(rows):
+    rng = random.Random(7)
+    letters = {"aa": "abé ", "bb": "bcd漢", "cc": "xyz "}
+    docs = [(i, "".join(rng.choices(letters[lang], k=rng.randrange(1, 60))), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 12)]
+    model = language_id.train(rows(docs, SCHEMA + ", lang string"))
+    held = {r.doc_id for r in rows(docs, SCHEMA + ", lang string").where(language_id.is_held_out()).collect()}
+    training = {lang: sorted({t.encode() for i, t, own in docs if own == lang and i not in held}) for lang in letters}
+    asked = [(100 + i, "".join(rng.choices("abcdxyzé漢q ", k=rng.randrange(1, 50)))) for i in range(20)]
+    got = {r.doc_id: r for r in language_id.identify(rows(asked, SCHEMA), model).collect()}
+    for doc_id, text in asked:
+        raw, r = text.encode(), got[doc_id]
+        if not any(map(str.isalpha, text)):
+            assert r.lang_pred == "und"
+            continue
+        bits = {lang: brute.code_length(raw, training[lang], language_id.ORDER) for lang in letters}
+        best = min(bits, key=lambda lang: (bits[lang], lang))
+        assert r.lang_pred == best and abs(r.bits_per_byte - bits[best] / len(raw)) < 1e-9
+        assert abs(r.score - 1 / sum(2 ** (bits[best] - b) for b in bits.values())) < 1e-9
+
+
 def test_texts_without_letters(spark, rows):
     model = language_id.train(documents(spark))
     docs = [(1, None), (2, ""), (3, "123 !?\n"), (4, "the thing"), (4, "the thing"), (None, "the thing")]
