@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loomtally.llm.tables import durable
+from loomtally.operators.durable import release
+from loomtally.operators.skew import BLOCKS, marked, oversized_keys
+
+# Rows of a group that one task reads in order; larger ones are spread.
+GROUP_ROWS = 1_000_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -51,7 +58,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = _state(current)
     while before[0]:
-        current = durable(_small_star(_large_star(current)))
+        current = durable(_small_star(_large_star(current)), replaces=current)
         after = _state(current)
         if after == before:
             break
@@ -66,38 +73,97 @@ def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(known, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
 
 
+class _Hubs:
+    """Reads rows in order of group and node; drops repeats and groups of one, adds the first node."""
+
+    def __init__(self) -> None:
+        self.group = self.hub = self.last = None
+        self.alone = False
+
+    def __call__(self, g: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.group is not None:
+            # The last group may go on; its first node is repeated in front, so that it isn't lost.
+            g, node = np.append(self.group, g), np.append(self.last, node)
+        opens = np.append(True, g[1:] != g[:-1])
+        fresh = opens | np.append(True, node[1:] != node[:-1])
+        g, node, opens = g[fresh], node[fresh], opens[fresh]
+        start = np.flatnonzero(opens)
+        first = node[start]
+        if self.group is not None:
+            first[0] = self.hub
+        hub = np.repeat(first, np.diff(np.append(start, len(g))))
+        size = np.repeat(np.diff(np.append(start, len(g))), np.diff(np.append(start, len(g))))
+        keep = size > 1
+        if self.group is not None and not (self.alone and keep[0]):
+            keep[0] = False  # handed on before, or alone
+        last_start = int(start[-1])
+        open_alone = len(g) - last_start == 1 and (last_start > 0 or self.group is None or self.alone)
+        self.group, self.hub, self.last, self.alone = g[-1], hub[-1], node[-1], open_alone
+        return g[keep], node[keep], hub[keep]
+
+
+def shared_groups(groups: DataFrame) -> DataFrame:
+    """`g`, `node`, `hub` (the group's smallest node), each once, for groups of two nodes or more.
+
+    One exchange of plain numbers; a task reads its rows in order and holds one batch, however
+    large a group is. Groups that heavy keys make are spread by node and get their hub by a join.
+    """
+
+    def read(batches):
+        hubs = _Hubs()
+        for batch in batches:
+            if batch.num_rows:
+                columns = hubs(batch["g"].to_numpy(), batch["node"].to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["g", "node", "hub"])
+
+    schema = "g long, node long, hub long"
+    heavy = oversized_keys(groups, F.col("g"), GROUP_ROWS)
+    if heavy is None:
+        return groups.repartition("g").sortWithinPartitions("g", "node").mapInArrow(read, schema)
+    known = marked(groups, F.col("g"), heavy)
+    light = known.where(F.col(BLOCKS).isNull()).select("g", "node")
+    large = known.where(F.col(BLOCKS).isNotNull()).select("g", "node").distinct()
+    hubs = large.groupBy("g").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
+    small = light.repartition("g").sortWithinPartitions("g", "node").mapInArrow(read, schema)
+    return small.unionByName(large.join(F.broadcast(hubs) if heavy.small else hubs, "g").select("g", "node", "hub"))
+
+
 def grouped_links(
     groups: DataFrame, verify: Callable[[DataFrame], DataFrame], all_hubs: bool = False
 ) -> DataFrame:
     """Verified links that connect whatever any verified pair within a group connects.
 
-    `groups` has `g`, `node`; `verify` takes pairs `a`, `b` and returns those linked, with
-    more columns if it likes. The hubs of a group are its smallest and its largest node.
-    Every node is held against the smallest of all its hubs first, then against those hubs
-    that are in another component still (with `all_hubs`: against all at once), and at last
-    all pairs of a group that are in different components are compared. Pairs of one
+    `groups` has `g`, `node`, repeated rows and groups of one allowed; `verify` takes pairs `a`,
+    `b` and returns those linked, with more columns if it likes. The hub of a group is its
+    smallest node. Every node is held against the smallest of all its hubs first, then against
+    those hubs that are in another component still (with `all_hubs`: against all at once), and at
+    last all pairs of a group that are in different components are compared. Pairs of one
     component need no comparison, so a large group of alike nodes costs little more than one
-    comparison per node.
+    comparison per node; unlike nodes that share a group are compared pair by pair.
     """
-    groups = durable(groups.distinct())
-    hubs = groups.groupBy("g").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last")
-    met = groups.join(hubs, "g").select("node", F.explode(F.array("hub", "last")).alias("x")).where("node != x")
+    stored = durable(shared_groups(groups))
+    met = durable(stored.where("node != hub").select("node", F.col("hub").alias("x")).distinct())
     pair = (F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b"))
-    met = durable(met.distinct())
-    done = met if all_hubs else met.groupBy("node").agg(F.min("x").alias("x"))
-    done = durable(done.select(*pair).distinct())
+    nodes = durable(stored.select("node").distinct())
+    first = met if all_hubs else met.groupBy("node").agg(F.min("x").alias("x"))
+    done = durable(first.select(*pair).distinct())
     links = durable(verify(done))
-    labels = durable(_labels(groups.select("node").distinct(), links))
+    labels = durable(_labels(nodes, links))
     other = labels.select(F.col("node").alias("x"), F.col("c").alias("cx"))
     if not all_hubs:
         more = met.join(labels, "node").join(other, "x").where("c != cx").select(*pair).distinct()
         more = durable(more.join(done, ["a", "b"], "left_anti"))
-        done = done.unionByName(more)
-        links = durable(links.unionByName(verify(more)))
-        labels = durable(_labels(groups.select("node").distinct(), links))
-    labelled = groups.join(labels, "node")
+        done = durable(done.unionByName(more), replaces=done)
+        links = durable(links.unionByName(verify(more)), replaces=links)
+        labels = durable(_labels(nodes, links), replaces=labels)
+        release(more)
+    labelled = stored.select("g", "node").join(labels, "node")
     open_ = labelled.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("g")
     rest = durable(labelled.join(open_, "g", "left_semi"))
+    release(stored, met)
     beside = rest.select("g", F.col("node").alias("x"), F.col("c").alias("cx"))
     pairs = rest.join(beside, "g").where("c < cx").select(*pair).distinct()
-    return links.unionByName(durable(verify(pairs.join(done, ["a", "b"], "left_anti"))))
+    last = durable(verify(pairs.join(done, ["a", "b"], "left_anti")))
+    found = durable(links.unionByName(last))
+    release(links, last, rest, labels, done, nodes)
+    return found

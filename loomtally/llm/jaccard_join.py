@@ -83,10 +83,10 @@ def profiles(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT)
     `first` holds the shingles that a similar set of the band must share one of; of those,
     `n_small` suffice towards larger sets.
     """
-    load = docs.sparkSession.sparkContext.broadcast(shingle_load(docs, size))
+    load = shingle_load(docs, size)
 
     def profile(batches):
-        hasher, counts = WordHasher(), load.value
+        hasher, counts = WordHasher(), load
         names = ("node", "n_shingles", "bitmap", "band", "n_small", "first")
         for batch in batches:
             for part in slices(batch["text"]):
@@ -156,8 +156,13 @@ def _exact(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, percen
     )
 
 
-def _tiles(sets: DataFrame) -> DataFrame:
-    """`g` (tile), `node`: a set under its first shingles, in its band and in the next one."""
+def _tiles(sets: DataFrame, percent: int) -> DataFrame:
+    """`g` (tile), `node`: a set under its first shingles, in its band and in the next one.
+
+    Two different sets are similar at best if one has a single shingle more, so small sets, which
+    even that would make too unlike, are left out.
+    """
+    sets = sets.where(F.col("n_shingles") * (100 - percent) >= percent)
     home = sets.select("node", "band", F.explode("first").alias("s"))
     guest = sets.select(
         "node", (F.col("band") + 1).alias("band"), F.explode(F.slice("first", 1, F.col("n_small"))).alias("s")
@@ -181,14 +186,12 @@ def jaccard_components(
     all_rows = durable(profiles(docs, size, percent))
     sets = all_rows.where("n_shingles > 0")
     classes = durable(sets.groupBy("node").agg(F.min("row").alias("row"), F.min("doc_id").alias("least_id")))
-    tiles = _tiles(sets)
-    met = tiles.groupBy("g").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("g")
     signatures = durable(sets.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap")))
 
     def verify(pairs: DataFrame) -> DataFrame:
         return _exact(durable(_similar_bitmaps(pairs, signatures, percent)), docs, classes, size, percent)
 
-    links = durable(grouped_links(tiles.join(met, "g"), verify))
+    links = grouped_links(_tiles(sets, percent), verify)
     linked = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     grouped = classes.join(linked, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("c"))
     least = grouped.groupBy("c").agg(F.min("least_id").alias("component_id"))
