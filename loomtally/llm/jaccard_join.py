@@ -24,14 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from loomtally.llm.graph import components, grouped_links
-from loomtally.llm.tables import durable, fresh, may_hold, rows_key
+from loomtally.llm.tables import durable, fresh, may_hold, rows_key, shipped
 from loomtally.llm.words import WordHasher, positional_shingles, slices, words_of
 
 SHINGLE_WORDS = 3
 PERCENT = 90
 BITMAP_BITS = 1024
-# Load counters for the order of shingles; their number is fixed, whatever the corpus.
-COUNTERS = 65_536
+# Load counters for the order of shingles, and how many travel in a row. Their number is fixed,
+# whatever the corpus: with a larger one they tell only more common shingles from the rest.
+COUNTER_BITS, BLOCK = 22, 65_536
 
 
 def _sets(texts: pd.Series, size: int, hasher: WordHasher) -> Iterator[np.ndarray]:
@@ -39,22 +40,44 @@ def _sets(texts: pd.Series, size: int, hasher: WordHasher) -> Iterator[np.ndarra
         yield np.unique(positional_shingles(hasher(words_of(text)), size))
 
 
+def _counter(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
 def shingle_load(docs: DataFrame, size: int) -> np.ndarray:
-    """How many shingles of all texts fall on each of `COUNTERS` hash counters."""
+    """How many sets of all texts have a shingle on each of the hash counters.
+
+    A task hands on its counters in blocks of a byte each (at most 255 sets, which is enough to
+    tell rare from common); blocks are added up one row after the other.
+    """
 
     def count(batches):
-        hasher, load = WordHasher(), np.zeros(COUNTERS, np.int64)
+        hasher, load = WordHasher(), np.zeros(1 << COUNTER_BITS, np.uint32)
         for batch in batches:
             for found in _sets(batch["text"], size, hasher):
-                load += np.bincount((found >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
-        used = np.flatnonzero(load)
-        yield pd.DataFrame({"counter": used, "n": load[used]})
+                load[_counter(found)] += 1
+        blocks = np.minimum(load, 255).astype(np.uint8).reshape(-1, BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        yield pd.DataFrame({"block": used, "load": [blocks[k].tobytes() for k in used]})
 
-    counted = docs.select("text").mapInPandas(count, "counter long, n long")
-    load = np.zeros(COUNTERS, np.int64)
-    for row in counted.groupBy("counter").agg(F.sum("n").alias("n")).collect():
-        load[row["counter"]] = row["n"]
-    return load
+    def add(batches):
+        block, total = None, None
+        for batch in batches:
+            for at, load in zip(batch["block"], batch["load"]):
+                if at != block:
+                    if block is not None:
+                        yield pd.DataFrame({"block": [block], "load": [total.tobytes()]})
+                    block, total = at, np.zeros(BLOCK, np.uint32)
+                total += np.frombuffer(load, np.uint8)
+        if block is not None:
+            yield pd.DataFrame({"block": [block], "load": [total.tobytes()]})
+
+    parts = docs.select("text").mapInPandas(count, "block long, load binary")
+    added = parts.repartition("block").sortWithinPartitions("block").mapInPandas(add, "block long, load binary")
+    load = np.zeros((1 << COUNTER_BITS) // BLOCK * BLOCK, np.uint32).reshape(-1, BLOCK)
+    for row in added.collect():
+        load[row["block"]] = np.frombuffer(row["load"], np.uint32)
+    return np.minimum(load.reshape(-1), 65_535).astype(np.uint16)
 
 
 def _band(size: int, percent: int) -> int:
@@ -70,7 +93,7 @@ def _profile(found: np.ndarray, counts: np.ndarray, percent: int) -> tuple:
     n = len(found)
     bits = np.zeros(BITMAP_BITS, bool)
     bits[(found % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
-    order = np.argsort(counts[(found >> np.uint64(48)).astype(np.int64)], kind="stable")
+    order = np.argsort(counts[_counter(found)], kind="stable")
     keep = n - _ceil_div(percent * n, 100) + 1 if n else 0
     small = n - _ceil_div(2 * percent * n, 100 + percent) + 1 if n else 0
     node = np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64)
@@ -83,10 +106,10 @@ def profiles(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT)
     `first` holds the shingles that a similar set of the band must share one of; of those,
     `n_small` suffice towards larger sets.
     """
-    load = shingle_load(docs, size)
+    load = shipped(docs.sparkSession, shingle_load(docs, size))
 
     def profile(batches):
-        hasher, counts = WordHasher(), load
+        hasher, counts = WordHasher(), load.value
         names = ("node", "n_shingles", "bitmap", "band", "n_small", "first")
         for batch in batches:
             for part in slices(batch["text"]):
