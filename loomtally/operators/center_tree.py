@@ -4,7 +4,9 @@ The tree is implicit: centres in an order in which every stretch is split at its
 by x and by y, down to stretches of `LEAF` centres. A batch of points goes down it together: the
 points of a node are divided by their side, and those whose nearest centre so far is no closer
 than the dividing line visit the other side too. So a point looks at a few leaves instead of at
-every centre. Equal distances fall to the lowest index, wherever in the tree it is.
+every centre. Equal distances fall to the lowest index, wherever in the tree it is. Of centres at
+one place only that with the lowest index can be nearest, so a place is in the tree once: lines
+divide nothing where many centres are equal, and every point would look at all of them.
 """
 
 from __future__ import annotations
@@ -70,6 +72,11 @@ class Tree:
         return found, best, computed
 
 
+def places(centers: DataFrame) -> DataFrame:
+    """`cluster`, `x`, `y`: of the centres at one place, that with the lowest index."""
+    return centers.groupBy("x", "y").agg(F.min("cluster").alias("cluster")).select("cluster", "x", "y")
+
+
 def _against(points: DataFrame, tree: Tree) -> DataFrame:
     """`points` (with `cluster`, `_best`) after the centres of one tree."""
     shared = points.sparkSession.sparkContext.broadcast((tree.points, tree.index, tree.line))
@@ -98,12 +105,14 @@ def assign_from_table(points: DataFrame, centers: DataFrame) -> DataFrame:
     Indexes are integers, each once. Distances are squared, in doubles; equal ones fall to the
     lowest index. A point with a NULL coordinate, and every point if there are no centres, has a
     NULL cluster; centres with a NULL are left out. The points' columns stay, whatever they are
-    but `cluster` and `_best`. Up to `MAX_TREE_CENTERS` centres are counted, collected and
-    broadcast as one tree; more go in blocks of that size, of which one at a time is on the
-    driver, and the points carry their best so far from block to block in a stored table.
+    but `cluster` and `_best`. Centres are reduced to one per place, by a shuffle, and stored. Up
+    to `MAX_TREE_CENTERS` places are collected and broadcast as one tree; more go in blocks of
+    that size, of which one at a time is on the driver, and the points carry their best so far
+    from block to block in a stored table.
     """
     known = centers.where("cluster IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
     known = known.select(F.col("cluster").cast("bigint").alias("cluster"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    known = durable(places(known))
     none = F.lit(np.iinfo(np.int64).max).cast("bigint")
     state = points.withColumns({"cluster": none, "_best": F.lit(float("inf"))})
     blocks = -(-known.count() // MAX_TREE_CENTERS)
@@ -118,4 +127,5 @@ def assign_from_table(points: DataFrame, centers: DataFrame) -> DataFrame:
             if previous is not None:
                 release(previous)
             previous = state
+    release(known)
     return state.drop("_best").withColumn("cluster", F.when(F.col("cluster") < none, F.col("cluster")))

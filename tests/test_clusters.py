@@ -257,6 +257,25 @@ def test_centers_from_a_table(spark, monkeypatch, limit):
     assert {r.cluster for r in none.collect()} == {None}
 
 
+def test_centers_at_one_place_are_searched_once(spark, monkeypatch):
+    """Equal centres can't be divided: all of them were held against every point near them."""
+    sizes, built = [], center_tree.Tree.__init__
+
+    def counted(self, x, y, index):
+        sizes.append(len(x))
+        built(self, x, y, index)
+
+    monkeypatch.setattr(center_tree.Tree, "__init__", counted)
+    centers = spark.range(3000).selectExpr("2999 - id AS cluster", "cast(id % 3 AS int) AS x", "cast(id % 2 AS int) AS y")
+    points = spark.createDataFrame([(0, 0), (1, 0), (2, 1), (9, 9), (None, 1)], "x int, y int")
+    got = {(r.x, r.y): r.cluster for r in center_tree.assign_from_table(points, centers).collect()}
+    lowest = {}
+    for r in centers.collect():
+        lowest[r.x, r.y] = min(r.cluster, lowest.get((r.x, r.y), 9999))
+    assert sizes == [6]
+    assert got == {(0, 0): lowest[0, 0], (1, 0): lowest[1, 0], (2, 1): lowest[2, 1], (9, 9): lowest[2, 1], (None, 1): None}
+
+
 # --- samples -------------------------------------------------------------------------
 
 
