@@ -4,7 +4,8 @@ Tokens are what stands between single spaces, as for single terms, and a phrase
 tokens follow each other. The phrases of a vocabulary make up one automaton: a node for each
 beginning of a phrase, with a link to the longest end of it that is a beginning too. A text is
 read once, token by token, whatever the number of phrases; where phrases overlap or hold one
-another, all of them are found.
+another, all of them are found. A task holds one text at a time besides the batch it came in, and
+no copies of it for the phrases that it holds.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from loomtally.operators.terms import VOCABULARY_COPIES
 
 # Phrases that make up an automaton in every task; more are joined by shuffle.
 MAX_AUTOMATON_PHRASES = 200_000
+# A task hands on what it has met as soon as it is so many rows.
+OUT_ROWS = 10_000
 
 
 def build(phrases: Iterable[str]) -> tuple[list[dict[str, int]], list[int], list[list[int]]]:
@@ -62,18 +65,26 @@ def _by_automaton(articles: DataFrame, phrases: list[str], keep: Sequence[str],
     def read(batches):
         steps, links, ends = build(phrases)
         for batch in batches:
+            texts, kept = batch["_text"], batch.drop_columns(["_text"])
             rows, terms, counts = [], [], []
-            for row, value in enumerate(batch["_text"].to_pylist()):
+            for row in range(batch.num_rows):
+                value = texts[row].as_py()
                 met: dict[int, int] = {}
                 for number in occurrences(value, steps, links, ends) if value is not None else ():
                     met[number] = met.get(number, 0) + 1
                 rows += [row] * len(met)
                 terms += [phrases[number] for number in met]
                 counts += met.values()
-            kept = batch.take(pa.array(rows, pa.int64())).drop_columns(["_text"]) if rows else None
-            if kept is not None:
-                arrays = [pa.array(terms, pa.string()), *kept.columns, pa.array(counts, pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["term", *kept.schema.names, "n"])
+                if len(rows) >= OUT_ROWS:
+                    yield found(kept, rows, terms, counts)
+                    rows, terms, counts = [], [], []
+            if rows:
+                yield found(kept, rows, terms, counts)
+
+    def found(kept, rows, terms, counts):
+        own = kept.take(pa.array(rows, pa.int64())).columns if kept.num_columns else []
+        arrays = [pa.array(terms, pa.string()), *own, pa.array(counts, pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, names=["term", *kept.schema.names, "n"])
 
     source = articles.select(F.col(text).alias("_text"), *keep)
     shown = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from loomtally.operators import phrases as P
@@ -52,3 +53,23 @@ def test_join(rows, monkeypatch, limit):
 def test_columns_may_be_left_out(rows):
     got = P.phrase_join(rows([("one two three",), ("two three",)], "body string"), rows([("two three",)], "term string"), text="body")
     assert [tuple(r) for r in got.collect()] == [("two three", 1)] * 2
+
+
+def test_texts_are_not_repeated_per_phrase(rows, monkeypatch):
+    """A text was copied once for each phrase met in it, for a whole batch at a time."""
+    sent = {}
+    articles = rows([(i, "a b c " * 2000) for i in range(50)], "doc int, text string", 1)
+    monkeypatch.setattr(type(articles), "mapInArrow", lambda frame, read, schema: sent.setdefault("read", read))
+    monkeypatch.setattr(P, "OUT_ROWS", 60, raising=False)
+    P._by_automaton(articles, ["a", "b", "c", "a b", "b c", "c a"], ["doc"], "text")
+    batch = pa.RecordBatch.from_pylist([{"_text": r.text, "doc": r.doc} for r in articles.collect()])
+    usual, counted = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(counted)
+    try:
+        out = [row for part in sent["read"]([batch]) for row in part.to_pylist()]
+    finally:
+        pa.set_memory_pool(usual)
+    assert counted.max_memory() < batch.nbytes / 4
+    assert sorted((r["doc"], r["term"], r["n"]) for r in out) == sorted(
+        (i, p, 1999 if p == "c a" else 2000) for i in range(50) for p in ("a", "b", "c", "a b", "b c", "c a")
+    )
