@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -28,6 +29,24 @@ def test_stages_make_up_the_run(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "jaccard_join", "decontaminate", "byte_bpe"]
 
 
+def test_stages_read_texts_in_small_batches(spark):
+    """Ten thousand whole texts were in a batch, in every worker."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(6000, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 800) AS text", "'en' AS lang")
+    sizes = lambda: [r.n for r in docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()]
+    before = spark.conf.get(setting)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(setting)
+            stage(spark, docs.limit(20), SMALL)
+            assert sum(sizes()) > 20e6 and max(sizes()) < 6e6, name
+        spark.conf.set(setting, "1m")
+        corpus_pipeline.line_deduped(spark, docs, SMALL)
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.set(setting, before)
+
+
 COLUMNS = (
     "doc_id long, text string, lang string, source string, n_chars long, node string, row int, g int, s string, owner int,"
     " key int, a int, b int, seq int, h int, m int, t int, line int, ids int, piece int, term int, c int, _llm_node int"
