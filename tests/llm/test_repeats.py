@@ -34,6 +34,46 @@ def test_components(rows, seed):
     assert sorted(map(tuple, got.collect())) == brute.components(docs)
 
 
+def family(seed: int, copies: int, changes: int, length: int = 150) -> list[tuple[int, str]]:
+    """Copies of one text that is not among them, each with words of its own, some longer or shorter."""
+    rng = random.Random(seed)
+    base, docs = brute.words(length, rng), []
+    for i in range(copies):
+        copy = list(base)
+        for k in range(rng.randrange(changes + 1)):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.choice([0, 1, 1, 2])] = rng.choice([[], [f"own{i}x{k}"], [f"two{k}", f"own{i}x{k}"]])
+        docs.append((i, " ".join(copy)))
+    return docs
+
+
+@pytest.mark.parametrize("percent", [90, 70])
+def test_components_of_families(rows, percent):
+    docs = [(1000 * k + i, text) for k, (changes, length) in enumerate([(4, 150), (9, 150), (3, 60), (2, 20)]) for i, text in family(k, 60, changes, length)]
+    got = jaccard_join.jaccard_components(rows(docs, SCHEMA), percent=percent).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect())) == brute.components(docs, percent=percent)
+
+
+def test_unlike_copies_are_not_compared_pair_by_pair(rows, monkeypatch):
+    """150 words of which three are replaced in each copy: Jaccard of 0.78, no link."""
+    rng = random.Random(5)
+    base, docs = brute.words(150, rng), []
+    for i in range(160):
+        changed = rng.sample(range(3, 147, 3), 3)
+        docs.append((i, " ".join(f"own{i}x{at}" if at in changed else w for at, w in enumerate(base))))
+    compared, plain = [], jaccard_join._similar_bitmaps
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "_similar_bitmaps", counted)
+    got = jaccard_join.jaccard_components(rows(docs, SCHEMA)).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect())) == brute.components(docs)
+    # A few hubs each; all pairs would be 12,720.
+    assert sum(compared) < 20 * len(docs) and compared[-1] < len(docs)
+
+
 def test_one_of_each_stays(rows):
     docs = near_copies(3)
     kept = {r.doc_id for r in jaccard_join.keep_one_of_each(rows(docs, SCHEMA)).collect()}
