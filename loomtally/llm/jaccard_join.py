@@ -13,9 +13,9 @@ comparison with each other. So a group of thousands of near copies costs a compa
 per copy.
 
 What is left are sets in tiles of several components, mostly copies with a few changes too many.
-They meet once more in tiles of their own: shingles are ordered by how many of these sets alone
-have them, so that what a copy has changed comes first, and the place of a shared shingle says
-how large a similar set can be. Only sets whose sizes fit both places are compared; sets with
+They meet once more in tiles of their own: shingles are counted exactly and ordered by how many of
+these sets alone have them, so that what a copy has changed comes first, and the place of a shared
+shingle says how large a similar set can be. Only sets whose sizes fit both places are compared; sets with
 more changes than that share no such tile, and no link is lost. Before two arrays are
 intersected, the differing bits of their bitmaps bound the overlap from above.
 
@@ -69,11 +69,6 @@ def _texts_sets(size: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[np.nda
     return sets
 
 
-def _stored_sets(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
-    for batch in batches:
-        yield from (found.view(np.uint64) for found in batch["s"])
-
-
 def shingle_load(rows: DataFrame, sets: Callable[[Iterator[pd.DataFrame]], Iterator[np.ndarray]]) -> np.ndarray:
     """How many of the `sets` of all rows have a shingle on each of the hash counters.
 
@@ -256,39 +251,48 @@ def _exact(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, percen
     )
 
 
-def _places(found: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
-    """Where a set meets similar ones: shingle, step of the smaller set, largest size, own step.
+def _shared_shingles(sets: DataFrame) -> DataFrame:
+    """`node`, `shared`: the shingles that other sets have too, those of the fewest sets first.
+
+    Sets are distinct, and so are the shingles of a set. Counted by shuffles, as counters of a
+    fixed number would take ever more shingles of one set alone for shared ones.
+    """
+    each = sets.select("node", F.explode("s").alias("s"))
+    counts = each.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
+    ordered = F.sort_array(F.collect_list(F.struct("f", "s")))["s"]
+    return each.join(counts, "s").groupBy("node").agg(ordered.alias("shared"))
+
+
+def _places(n: int, shared: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Where a set of `n` meets similar ones: shingle, step of the smaller set, largest size, own step.
 
     A set whose first shared shingle has `i` others before it shares at most `n - i`, which is
     enough for sets of a size up to `most`. Two sets meet in the step of the smaller one's size.
-    Shingles that no other of the counted sets can have only take their places.
+    Shingles that no other set has only take the first places.
     """
-    n = len(found)
-    loads = counts[_counter(found)]
-    order = np.argsort(loads, kind="stable")[: n - _ceil_div(percent * n, 100) + 1]
-    most = (n - np.arange(len(order))) * (100 + percent) // percent - n
+    alone = n - len(shared)
+    met = shared[: max(0, n - _ceil_div(percent * n, 100) + 1 - alone)]
+    most = (n - alone - np.arange(len(met))) * (100 + percent) // percent - n
     least = max(1, _ceil_div(percent * n, 100))
-    shared = (most >= least) & (loads[order] > 1)
-    order, most = order[shared], most[shared]
+    met, most = met[most >= least], most[most >= least]
     own = _band(n, percent, STEPS)
     last = np.array([_band(min(n, int(m)), percent, STEPS) for m in most], np.int64)
     steps = np.arange(_band(least, percent, STEPS), own + 1)
     at, k = np.nonzero(last[:, None] >= steps[None, :])
-    return found[order[at]].view(np.int64), steps[k], most[at], steps[k] == own
+    return met[at], steps[k], most[at], steps[k] == own
 
 
 def _close_pairs(nodes: DataFrame, docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs `a`, `b` of different `c` that may be similar, of all of `nodes` (`node`, `c`)."""
     sets = _node_sets(nodes.select("node"), docs, rows, size)
     sketch = [f"x{k}" for k in range(SKETCH_BITS // 64)]
-    load = shipped(docs.sparkSession, shingle_load(sets.select("s"), _stored_sets))
 
     def places(batches):
-        counts, names = load.value, ("node", "c", "n", *sketch, "s", "step", "most", "own")
+        names = ("node", "c", "n", *sketch, "s", "step", "most", "own")
         for batch in batches:
             out, held = [], 0
-            for node, c, found in zip(batch["node"], batch["c"], batch["s"]):
-                met = _places(found.view(np.uint64), counts, percent)
+            for node, c, found, shared in zip(batch["node"], batch["c"], batch["s"], batch["shared"]):
+                met = _places(len(found), shared, percent)
                 own = (node, c, len(found), *_bitmap(found.view(np.uint64), SKETCH_BITS).view(np.int64))
                 out.append((*(np.full(len(met[0]), x) for x in own), *met))
                 held += len(met[0])
@@ -299,7 +303,7 @@ def _close_pairs(nodes: DataFrame, docs: DataFrame, rows: DataFrame, size: int,
                 yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)))))
 
     longs = ", ".join(f"{x} long" for x in ("node", "c", "n", *sketch, "s", "step", "most"))
-    placed = sets.join(nodes, "node").mapInPandas(places, f"{longs}, own boolean")
+    placed = sets.join(_shared_shingles(sets), "node").join(nodes, "node").mapInPandas(places, f"{longs}, own boolean")
     placed = durable(placed.select(F.xxhash64("s", "step").alias("g"), "node", "c", "n", *sketch, "most", "own"))
     carried = ("node", "c", "n", *sketch, "most")
     smaller = placed.where("own AND most >= n").select("g", *(F.col(x).alias(f"{x}_") for x in carried))

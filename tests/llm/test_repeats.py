@@ -74,6 +74,28 @@ def test_unlike_copies_are_not_compared_pair_by_pair(rows, monkeypatch):
     assert sum(compared) < 20 * len(docs) and compared[-1] < len(docs)
 
 
+def test_shingles_of_one_set_alone_have_no_place(rows, monkeypatch):
+    """Counters of a fixed number took them for shared ones, the more often the more sets there were."""
+    rng = random.Random(8)
+    base = brute.words(1000, rng, 10**9)
+    near = [*base[:20], "changed", *base[21:]]
+    docs = rows([(i, " ".join(t)) for i, t in enumerate([base, near, *(brute.words(1000, rng, 10**9) for _ in range(300))])], SCHEMA)
+    monkeypatch.setattr(jaccard_join, "COUNTER_BITS", 16)
+    nodes = jaccard_join.durable(jaccard_join.profiles(docs).select("node", "row", "doc_id"))
+    placed, plain = [], jaccard_join.durable
+
+    def counted(table, *rest):
+        stored = plain(table, *rest)
+        placed.extend([r.node for r in stored.select("node").distinct().collect()] if "most" in stored.columns else [])
+        return stored
+
+    monkeypatch.setattr(jaccard_join, "durable", counted)
+    pairs = jaccard_join._close_pairs(nodes.selectExpr("node", "node AS c"), docs, nodes.select("node", "row"), 3, 90).collect()
+    alike = sorted(r.node for r in nodes.where("doc_id < 2").collect())
+    assert [(r.a, r.b) for r in pairs] == [tuple(alike)]
+    assert sorted(placed) == alike
+
+
 def test_one_of_each_stays(rows):
     docs = near_copies(3)
     kept = {r.doc_id for r in jaccard_join.keep_one_of_each(rows(docs, SCHEMA)).collect()}
