@@ -167,6 +167,45 @@ def test_recall_of_changed_passages(rows, changes):
     assert all(r.start_word >= 50 and r.end_word <= 149 for r in found)
 
 
+def test_slices_are_not_stored(rows, monkeypatch):
+    """Slices of a text overlap; the shingles of each were stored and sent, many times the text."""
+    rng = random.Random(9)
+    docs, stored, plain = [], [], substring_dedup.durable
+    for i in range(20):
+        passage = brute.words(300, rng, 50_000)
+        near = [f"changed{i}" if at % 60 == 30 else w for at, w in enumerate(passage)]
+        docs += [(2 * i, " ".join(passage)), (2 * i + 1, " ".join(near))]
+
+    def seen(table, *rest):
+        kept = plain(table, *rest)
+        stored.extend(kind for _, kind in kept.dtypes)
+        stored.append(sum(len(r.text) for r in kept.collect()) if "text" in kept.columns else 0)
+        return kept
+
+    monkeypatch.setattr(substring_dedup, "durable", seen)
+    found = substring_dedup.near_duplicate_passages(rows(docs, SCHEMA)).collect()
+    assert {r.doc_id for r in found} == set(range(40))
+    assert not any("array" in x for x in stored if isinstance(x, str))
+    assert sum(x for x in stored if isinstance(x, int)) <= sum(len(text) for _, text in docs)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_of_distinct_values(seed):
+    import numpy as np
+
+    values = np.array(random.Random(seed).sample(range(10**6), 90 + seed), np.uint64)
+    for least in (4, 9, 46):
+        found = set(substring_dedup.compact_windows(values, least))
+        # Smaller values stand beside each window, or the text ends.
+        expected = set()
+        for c in range(len(values)):
+            l = max((i + 1 for i in range(c) if values[i] < values[c]), default=0)
+            r = min((i - 1 for i in range(c + 1, len(values)) if values[i] < values[c]), default=len(values) - 1)
+            if r - l + 1 >= least:
+                expected.add((l, c, c, r))
+        assert found == expected
+
+
 def test_compact_windows_hold_every_passage():
     import numpy as np
 
