@@ -189,6 +189,69 @@ def test_slices_are_not_stored(rows, monkeypatch):
     assert sum(x for x in stored if isinstance(x, int)) <= sum(len(text) for _, text in docs)
 
 
+def test_a_common_line_does_not_pair_all_texts(rows, monkeypatch):
+    """A line too short for a passage, in 60 texts of otherwise own words, beside a near copy of one of them."""
+    rng = random.Random(12)
+    line, looked, plain = brute.words(20, rng, 10**6), [], substring_dedup._verifier
+    docs = [brute.words(70, rng, 10**6) + line + brute.words(70, rng, 10**6) for _ in range(60)]
+    docs.append([w if at % 40 else f"own{at}" for at, w in enumerate(docs[0])])
+
+    def counted(*given):
+        verify = plain(*given)
+
+        def seen(pairs):
+            looked.append(pairs.count())
+            return verify(pairs)
+
+        return seen
+
+    monkeypatch.setattr(substring_dedup, "_verifier", counted)
+    found = substring_dedup.near_duplicate_passages(rows([(i, " ".join(t)) for i, t in enumerate(docs)], SCHEMA)).collect()
+    assert {r.doc_id for r in found} == {0, 60}
+    # All others met their hubs first; without the line's slices next to none are left for the last comparison.
+    assert looked[0] > 59 and looked[-1] < 60
+
+
+@pytest.mark.parametrize("vocabulary", [3, 40, 50_000])
+def test_texts_of_a_batch_are_cut_as_each_alone(vocabulary):
+    import numpy as np
+
+    from loomtally.llm.words import WordHasher, mixed
+
+    rng = random.Random(vocabulary)
+    texts = [None, "", "a b", *(" ".join(brute.words(n, rng, vocabulary)) for n in (8, 50, 51, 120, 300, 90))]
+    for least in (4, 9, 46):
+        shingles, sizes = substring_dedup._shingles(texts, WordHasher())
+        rows = substring_dedup._windows(shingles, sizes, least)
+        start = np.cumsum(sizes) - sizes
+        for text, own in enumerate(np.split(shingles, np.cumsum(sizes)[:-1])):
+            expected = []
+            for f in range(substring_dedup.FUNCTIONS if len(own) >= least else 0):
+                values = mixed(own + np.uint64(0x9E3779B97F4A7C15 * (f + 1) & (2**64 - 1)))
+                expected += [(int(values[c].view(np.int64)), c, e, l, r) for l, c, e, r in substring_dedup.compact_windows(values, least)]
+            got = rows[rows[:, 0] == text][:, 1:] - np.array([0, 1, 1, 1, 1]) * start[text]
+            assert sorted(map(tuple, got.tolist())) == sorted(expected)
+
+
+def test_cuts_together_as_each_alone():
+    import numpy as np
+
+    rng, linked = random.Random(3), 0
+    for _ in range(200):
+        a = rng.sample(range(10**6), rng.randrange(100, 250))
+        b = a[rng.randrange(40) :]
+        for _ in range(rng.randrange(9)):
+            at = rng.randrange(len(b) - 5)
+            b[at : at + rng.randrange(1, 12)] = rng.sample(range(10**7, 10**8), rng.randrange(12))
+        a, b = np.array(a, np.uint64), np.array(b, np.uint64)
+        cuts = np.array([(x, min(len(a) - 1, x + 45 + rng.randrange(145)), y, min(len(b) - 1, y + 45 + rng.randrange(145))) for x, y in (rng.choices(range(40), k=2) for _ in range(5))])
+        got = {at: tuple(ends) for at, *ends in substring_dedup._many_stretches(*substring_dedup._places(a, b), cuts, 46, 0.8).tolist()}
+        for at, (la, ha, lb, hb) in enumerate(cuts.tolist()):
+            assert got.get(at) == substring_dedup._stretches(a[la : ha + 1].astype(np.int64), b[lb : hb + 1].astype(np.int64), 46, 0.8)
+            linked += at in got
+    assert linked > 50
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_windows_of_distinct_values(seed):
     import numpy as np
