@@ -252,6 +252,115 @@ def test_cuts_together_as_each_alone():
     assert linked > 50
 
 
+def slices_of_words(vocabulary: int, seed: int):
+    """Shingles of texts one after the other, where each starts, and slices of two texts: numbers and places."""
+    import numpy as np
+
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(12):
+        text = [rng.randrange(vocabulary) for _ in range(rng.randrange(120, 250))]
+        texts.append(text)
+        for _ in range(2):
+            near = text[rng.randrange(30) :]
+            for _ in range(rng.randrange(6)):
+                at = rng.randrange(len(near) - 5)
+                near[at : at + rng.randrange(1, 9)] = [rng.randrange(vocabulary) for _ in range(rng.randrange(9))]
+            texts.append(near * rng.choice([1, 1, 2]))
+    cuts = []
+    for x in range(len(texts)):
+        for y in range(x):
+            for _ in range(3 if x // 3 == y // 3 else 1):
+                la, lb = rng.randrange(40), rng.randrange(40)
+                cuts.append((x, y, la, min(len(texts[x]) - 1, la + rng.randrange(45, 190)), lb, min(len(texts[y]) - 1, lb + rng.randrange(45, 190))))
+    return [np.array(t, np.uint64) for t in texts], np.array(sorted(cuts, key=lambda c: c[1]))
+
+
+@pytest.mark.parametrize("vocabulary, bits", [(4, 20), (60, 20), (400, 20), (10**9, 20), (10**9, 3)])
+def test_slices_of_a_tile_as_each_alone(monkeypatch, vocabulary, bits):
+    """Also where shingles come more than once, and where different ones have the same slot."""
+    import numpy as np
+
+    from loomtally.llm.words import mixed
+
+    monkeypatch.setattr(substring_dedup, "SLOT_BITS", bits)
+    linked = 0
+    for seed in range(6):
+        texts, cuts = slices_of_words(vocabulary, seed)
+        texts = [mixed(t) for t in texts]
+        # Of the texts what the cuts look at; owners in no order.
+        lo = np.array([min([c[2] for c in cuts if c[0] == x] + [c[4] for c in cuts if c[1] == x], default=0) for x in range(len(texts))])
+        owners = np.array([(7 * x) % 101 for x in range(len(texts))])
+        held = substring_dedup._Held(owners, lo, [t[x:].tobytes() for t, x in zip(texts, lo)])
+        given = np.concatenate([owners[cuts[:, :2]], cuts[:, 2:]], axis=1)
+        found = substring_dedup._Comparison(46, 0.8)(held, given)
+        got = {at: tuple(ends) for at, *ends in found.tolist()}
+        assert len(got) == len(found)
+        for at, (x, y, la, ha, lb, hb) in enumerate(cuts.tolist()):
+            assert got.get(at) == substring_dedup._stretches(texts[x][la : ha + 1].astype(np.int64), texts[y][lb : hb + 1].astype(np.int64), 46, 0.8)
+        linked += len(got)
+    assert linked > 50
+
+
+@pytest.mark.parametrize("vocabulary", [3, 40, 50_000])
+def test_min_hashes_are_those_of_the_windows(vocabulary):
+    from loomtally.llm.words import WordHasher
+
+    rng = random.Random(vocabulary)
+    texts = [None, "", "a b", *(" ".join(brute.words(n, rng, vocabulary)) for n in (8, 50, 51, 120, 300, 90, 12, 49))]
+    shingles, sizes = substring_dedup._shingles(texts, WordHasher())
+    for least in (4, 9, 46):
+        expected = set(map(tuple, substring_dedup._windows(shingles, sizes, least)[:, :2].tolist()))
+        assert set(map(tuple, substring_dedup._min_keys(shingles, sizes, least).tolist())) == expected
+
+
+def test_texts_are_hashed_once_and_meet_in_tiles(rows, monkeypatch):
+    """Every pair of texts was sent both texts, whose words were hashed again."""
+    rng = random.Random(21)
+    passage = brute.words(90, rng, 50_000)
+    docs = []
+    for i in range(30):
+        near = [f"own{i}" if at == 30 + i else w for at, w in enumerate(passage)]
+        docs.append((i, " ".join(brute.words(60, rng, 50_000) + near + brute.words(60, rng, 50_000))))
+    given, plain = [], substring_dedup._verifier
+
+    def seen(texts, *rest):
+        given.append(texts.columns)
+        return plain(texts, *rest)
+
+    monkeypatch.setattr(substring_dedup, "_verifier", seen)
+    found = sorted(map(str, substring_dedup.near_duplicate_passages(rows(docs, SCHEMA)).collect()))
+    assert given == [["owner", "shingles"]] and len(found) == 30
+    # However texts are dealt.
+    monkeypatch.setattr(substring_dedup, "BUCKET_SHINGLES", 150)
+    monkeypatch.setattr(substring_dedup, "LABEL_TEXTS", 1)
+    assert sorted(map(str, substring_dedup.near_duplicate_passages(rows(docs, SCHEMA)).collect())) == found
+
+
+@pytest.mark.parametrize("limit", [10**6, 64, 7])
+def test_components_of_a_graph(spark, monkeypatch, limit):
+    """Every graph took a table for each round of stars."""
+    from loomtally.llm import graph
+
+    rng = random.Random(11)
+    edges = [(i, i + 1) for i in range(100, 300)] + [(5, 5)] + [(rng.randrange(400, 900), rng.randrange(400, 900)) for _ in range(180)]
+    edges += [(1000, x) for x in range(1001, 1060)] + edges[:40]
+    label = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in range(len(label)):
+        before = dict(label)
+        for u, v in edges:
+            if u != v:
+                label[u] = label[v] = min(label[u], label[v])
+        if before == label:
+            break
+    stored, plain = [], graph.durable
+    monkeypatch.setattr(graph, "TASK_EDGES", limit)
+    monkeypatch.setattr(graph, "durable", lambda *given, **named: stored.append(1) or plain(*given, **named))
+    got = graph.components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted(label.items())
+    assert limit < 10**6 or len(stored) == 2
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_windows_of_distinct_values(seed):
     import numpy as np
